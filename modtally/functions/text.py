@@ -36,7 +36,7 @@ def clean_text(text: Column) -> Column:
 
 
 def strip_backslashes(text: Column) -> Column:
-    return F.translate(text, "\\", "")
+    return F.replace(text, F.lit("\\"), F.lit(""))
 
 
 def is_placeholder(text: Column, placeholder: str) -> Column:

@@ -45,10 +45,16 @@ def classify(lines: DataFrame) -> DataFrame:
     """
     parsed = lines.withColumn(
         "x", F.from_json("value", _RAW, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+    ).withColumns(
+        {
+            "_body_removed": is_placeholder(_value("body"), REMOVED),
+            "_author_deleted": is_placeholder(_value("author"), DELETED),
+            "_created": _value("created_utc").try_cast("long"),
+            "_score": _value("score").try_cast("long"),
+        }
     )
     comment = F.col("type") == "comments"
-    body_removed = is_placeholder(_value("body"), REMOVED)
-    author_deleted = is_placeholder(_value("author"), DELETED)
+    body_removed, author_deleted = F.col("_body_removed"), F.col("_author_deleted")
     no_flag = ~author_deleted & ~_present("is_robot_indexable") & ~_present("is_crosspostable")
     removed = F.when(comment, body_removed & author_deleted).otherwise(
         ~author_deleted
@@ -60,7 +66,7 @@ def classify(lines: DataFrame) -> DataFrame:
         | F.startswith(_value("permalink"), F.concat(F.lit("/r/u_"), _value("author"), F.lit("/"))),
         F.lit(False),
     ) | _truthy("promoted")
-    created, score = _value("created_utc").try_cast("long"), _value("score").try_cast("long")
+    created, score = F.col("_created"), F.col("_score")
     bad_value = (
         ~F.coalesce(_value("id").rlike("^[0-9A-Za-z]{1,12}$"), F.lit(False))
         | _value("subreddit").isNull()
@@ -102,7 +108,7 @@ def classify(lines: DataFrame) -> DataFrame:
 
 def rejected_files(classified: DataFrame) -> DataFrame:
     """Files with at least one post that makes the whole file unusable."""
-    return classified.where("outcome = 'reject_file'").select("file").distinct()
+    return classified.where("type = 'posts' AND outcome = 'reject_file'").select("file").distinct()
 
 
 def kept_items(classified: DataFrame, strict: bool = False) -> DataFrame:
@@ -115,7 +121,8 @@ def kept_items(classified: DataFrame, strict: bool = False) -> DataFrame:
         classified = classified.withColumn(
             "outcome", F.when(F.col("outcome") == "quarantine", F.raise_error(message)).otherwise(F.col("outcome"))
         )
-    usable = classified.join(rejected_files(classified), "file", "left_anti")
+    # At most one row per dump file, so the names always fit every executor.
+    usable = classified.join(F.broadcast(rejected_files(classified)), "file", "left_anti")
     return usable.where("outcome = 'keep'").select(*SLIM.fieldNames(), "type", "month", "pos")
 
 

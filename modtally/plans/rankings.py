@@ -174,12 +174,17 @@ RETURNS TABLE (subreddit STRING, rate DOUBLE, last_created_utc BIGINT, id_of_max
                last_id STRING, total_items BIGINT, body STRING, created_utc BIGINT, link_id STRING,
                title STRING, score BIGINT)
 RETURN
-  WITH {top}
+  WITH {top},
+    found AS (
+      SELECT * FROM comments WHERE id IN (SELECT id_of_max_pos_removed_item FROM top)
+    )
   SELECT trim(t.subreddit), t.rate, t.last_created_utc, trim(t.id_of_max_pos_removed_item), trim(t.last_id),
          t.total_items, trim(c.body), c.created_utc, trim(c.link_id), trim(p.title), t.score_of_max_pos_removed_item
   FROM top t
-  LEFT JOIN comments c ON t.id_of_max_pos_removed_item = c.id
-  LEFT JOIN posts p ON c.link_id = p.id
+  LEFT JOIN found c ON t.id_of_max_pos_removed_item = c.id
+  LEFT JOIN (
+    SELECT * FROM posts WHERE id IN (SELECT link_id FROM found)
+  ) p ON c.link_id = p.id
   ORDER BY t.{key} DESC, t.last_id DESC
 """
 
@@ -193,7 +198,9 @@ RETURN
   SELECT trim(t.subreddit), t.rate, t.last_created_utc, trim(t.id_of_max_pos_removed_item), trim(t.last_id),
          t.total_items, trim(p.title), p.num_comments, p.created_utc, t.score_of_max_pos_removed_item
   FROM top t
-  LEFT JOIN posts p ON t.id_of_max_pos_removed_item = p.id
+  LEFT JOIN (
+    SELECT * FROM posts WHERE id IN (SELECT id_of_max_pos_removed_item FROM top)
+  ) p ON t.id_of_max_pos_removed_item = p.id
   ORDER BY t.{key} DESC, t.last_id DESC
 """
 

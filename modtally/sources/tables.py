@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from ..schemas import BLOCK_COLUMNS, BLOCKS, BLOCKS_BY_MONTH, ENRICHED, ID_LIST, SLIM, SLIM_BY_MONTH
 
 
+# Texts keep their blanks at both ends.
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_by_month(df: DataFrame, path: str) -> None:
     """Parquet by type and month. Only the months in ``df`` are replaced."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("type", "month").parquet(path)
@@ -29,7 +33,7 @@ def write_slim_csv(items: DataFrame, path: str) -> None:
     """CSV with header, one directory per type and month."""
     fields = SLIM.fieldNames()
     items.select(*fields, "type", "month").write.mode("overwrite").partitionBy("type", "month").csv(
-        path, header=True, emptyValue="", quote='"', escape='"'
+        path, **_CSV
     )
 
 
@@ -41,7 +45,7 @@ def read_slim_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_blocks_csv(blocks: DataFrame, path: str) -> None:
     blocks.select(*BLOCK_COLUMNS).orderBy("subreddit", "last_created_utc").write.mode("overwrite").csv(
-        path, header=True, escape='"'
+        path, **_CSV
     )
 
 
@@ -53,7 +57,7 @@ def read_blocks_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def write_enriched_csv(df: DataFrame, path: str, item_type: str) -> None:
-    df.select(*ENRICHED[item_type].fieldNames()).write.mode("overwrite").csv(path, header=True, escape='"')
+    df.select(*ENRICHED[item_type].fieldNames()).write.mode("overwrite").csv(path, **_CSV)
 
 
 def read_enriched_csv(spark: SparkSession, path: str, item_type: str) -> DataFrame:
