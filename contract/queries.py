@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import wraps
 
@@ -243,9 +244,10 @@ def scan_bz2(spark, d):
     return kept_items(classify(decode_lines(_dump(spark, d, "bzip2", ".bz2")))).select(*_SLIM)
 
 
-def _packed_dump(spark: SparkSession, d: str, extension: str) -> DataFrame:
+def packed_dump_paths(spark: SparkSession, d: str, extension: str, files: int | None = None) -> list[str]:
     """The same for codecs Spark cannot write: each task packs its lines into one file."""
     folder = scratch_path(spark, "dump")
+    name = f"RC_{roles.COMMENT_MONTH}"
 
     def pack(batches):
         import lzma
@@ -254,20 +256,28 @@ def _packed_dump(spark: SparkSession, d: str, extension: str) -> DataFrame:
         import zstandard
         from pyarrow import fs
 
-        system, base = fs.FileSystem.from_uri(folder if "://" in folder else folder.replace("file:", "file://", 1))
+        system, base = fs.FileSystem.from_uri(re.sub("^(file:)?/+", "file:///", folder))
         system.create_dir(base)
-        path = f"{base}/RC_{roles.COMMENT_MONTH}-{uuid.uuid4().hex}{extension}"
-        with system.open_output_stream(path, compression=None) as raw:
-            packed = zstandard.ZstdCompressor().stream_writer(raw, closefd=False) if extension == ".zst" else lzma.open(raw, "w", preset=0)
+        file = f"{name}-{uuid.uuid4().hex}{extension}"
+        with system.open_output_stream(f"{base}/{file}", compression=None) as raw:
+            if extension == ".zst":
+                packed = zstandard.ZstdCompressor().stream_writer(raw, closefd=False)
+            else:
+                packed = lzma.open(raw, "w", preset=0)
             with packed:
                 for batch in batches:
                     for value in batch["value"]:
                         packed.write(value.encode() + b"\n")
-        yield pd.DataFrame({"path": [path if "://" not in folder else f"{folder}/{path.rsplit('/', 1)[1]}"]})
+        yield pd.DataFrame({"path": [f"{folder}/{file}"]})
 
-    written = roles.comment_lines(spark, d).select("value").mapInPandas(pack, "path string")
+    lines = roles.comment_lines(spark, d).select("value")
+    written = (lines if files is None else lines.repartition(files)).mapInPandas(pack, "path string")
     # One path per written file.
-    lines = read_dumps(spark, [r.path for r in written.collect()])
+    return [r.path for r in written.collect()]
+
+
+def _packed_dump(spark: SparkSession, d: str, extension: str) -> DataFrame:
+    lines = read_dumps(spark, packed_dump_paths(spark, d, extension))
     return lines.withColumns({"type": F.lit("comments"), "month": F.lit(roles.COMMENT_MONTH)})
 
 

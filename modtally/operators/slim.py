@@ -43,9 +43,10 @@ def classify(lines: DataFrame) -> DataFrame:
     ``reject_file`` a post without either removal flag: its whole file is unusable
     ``quarantine``  not an item; ``reason`` tells why
     """
-    parsed = lines.withColumn(
-        "x", F.from_json("value", _RAW, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
-    ).withColumns(
+    # Exploding the one parsed object keeps the parse below later filters: each line is
+    # parsed once, however many conditions look at the result.
+    parsed_line = F.from_json("value", _RAW, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+    parsed = lines.select("*", F.explode(F.array(parsed_line)).alias("x")).withColumns(
         {
             "_body_removed": is_placeholder(_value("body"), REMOVED),
             "_author_deleted": is_placeholder(_value("author"), DELETED),

@@ -111,6 +111,7 @@ def read_dumps(
             text.select(
                 "value",
                 F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_name").alias("_name"),
                 F.col("_metadata.file_block_start").alias("_start"),
                 F.monotonically_increasing_id().alias("_line"),
             ).where(F.col("value").rlike(r"\S"))
@@ -127,6 +128,7 @@ def read_dumps(
             lines.select(
                 F.col("value").cast("string").alias("value"),
                 F.col("path").alias("file"),
+                F.substring_index("path", "/", -1).alias("_name"),
                 F.lit(0).cast("long").alias("_start"),
                 F.col("line").alias("_line"),
             )
@@ -134,8 +136,10 @@ def read_dumps(
     if not parts:
         return spark.createDataFrame([], "value string, file string, type string, month string, pos struct<period:string,start:bigint,line:bigint>")
     lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    named = with_name_parts(lines.withColumn("name", file_name(F.col("file"))))
-    placed = named.select(
+    # Name parts are worked out once per file, not per line; one row per given path.
+    names = spark.createDataFrame([(p.rsplit("/", 1)[1],) for p in paths], "_name string").distinct()
+    parsed = with_name_parts(names, "_name").select("_name", "type", "month", "period")
+    placed = lines.join(F.broadcast(parsed), "_name").select(
         "value",
         "file",
         "type",
