@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import clean_text, normalise_link_id
 from ..functions.text import REMOVED, is_placeholder
 from ..schemas import EXTRA_FIELDS
+from ..session import materialise
+from .narrow import rows_with_ids
 
 # Bodies stored before this time were fetched while they were still
 # available; a stored row without a time counts as newer than any.
@@ -89,8 +91,9 @@ def resolve_versions(versions: DataFrame) -> DataFrame:
 
 
 def lookup(ids: DataFrame, versions: DataFrame, item_type: str) -> DataFrame:
-    """Fields of the wanted ids. The dump is reduced to those ids before any text is cleaned."""
-    wanted = versions.join(ids.select("id"), "id", "left_semi")
+    """Fields of the wanted ids. The dump is reduced to those ids before any text is
+    cleaned or shuffled."""
+    wanted = rows_with_ids(versions, ids)
     return resolve_versions(normalise_fields(wanted, item_type))
 
 
@@ -139,7 +142,7 @@ def enrich(
     """(enriched table, ids that were not found)."""
     if existing is not None:
         check_fields(existing, item_type)
-    ids = ids_to_lookup(blocks, item_type, existing, inaccessible, comments, compat)
+    ids = materialise(ids_to_lookup(blocks, item_type, existing, inaccessible, comments, compat))
     found = lookup(ids, versions, item_type)
     rows = found if existing is None else merge_lookups(found, existing, item_type)
     return attach_score(rows, blocks, item_type), ids_not_found(ids, found)

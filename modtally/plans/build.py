@@ -70,7 +70,7 @@ def ingest(
     io.write_by_month(classify(lines), f"{out}/classified")
     classified = read_classified(spark, out, _pairs(todo))
     io.write_by_month(kept_items(classified, settings.strict), f"{out}/slim")
-    io.write_by_month(quarantined(classified), f"{out}/quarantine")
+    io.write_by_month(quarantined(classified), f"{out}/quarantine", rebalance=True)
     names = rejected_files(classified).select(F.regexp_extract("file", r"([^/]*)\.[^.]*$", 1).alias("basename"))
     io.append_names(names, log, io.read_names(spark, log) if table_exists(spark, log) else None)
     return judged
@@ -106,7 +106,7 @@ def build_blocks(spark: SparkSession, out: str, settings: Settings = Settings())
     if not pairs:
         return
     blocks = aggregate_blocks(_only(slim, pairs), settings.n_rows, settings.dropna, settings.max_group_rows)
-    io.write_by_month(blocks, f"{out}/blocks")
+    io.write_by_month(blocks, f"{out}/blocks", rebalance=True)
 
 
 def build_merged(spark: SparkSession, out: str, settings: Settings = Settings()) -> DataFrame:

@@ -13,8 +13,14 @@ from ..schemas import BLOCK_COLUMNS, BLOCKS, BLOCKS_BY_MONTH, ENRICHED, ID_LIST,
 _CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def write_by_month(df: DataFrame, path: str) -> None:
-    """Parquet by type and month. Only the months in ``df`` are replaced."""
+def write_by_month(df: DataFrame, path: str, rebalance: bool = False) -> None:
+    """Parquet by type and month. Only the months in ``df`` are replaced.
+
+    ``rebalance`` is for tables shuffled by another key: it gathers each month into few
+    files of even size, splitting a large month and joining small ones.
+    """
+    if rebalance:
+        df = df.hint("rebalance", "type", "month")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("type", "month").parquet(path)
 
 
