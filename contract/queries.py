@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import wraps
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +34,7 @@ from modtally.sources.manifest import coverage, order_manifest, parent_sizes, up
 from modtally.streaming.incremental import is_stale, pending_months
 
 from . import roles
-from .roles import table
+from .roles import once, table
 
 COMMENT_ROWS, COMMENT_MIN = 100, 50
 POST_ROWS, POST_MIN = 10, 5
@@ -52,22 +51,6 @@ def query(f: Query) -> Query:
     return f
 
 
-_written: dict[tuple, object] = {}
-
-
-def once(f):
-    """Build a written table once per session and data folder; later queries read it."""
-
-    @wraps(f)
-    def cached(spark: SparkSession, sf_dir: str):
-        key = (f.__name__, spark.sparkContext.applicationId, sf_dir)
-        if key not in _written:
-            _written[key] = f(spark, sf_dir)
-        return _written[key]
-
-    return cached
-
-
 # --- stages shared by several queries ------------------------------------------------
 
 
@@ -79,6 +62,19 @@ def post_blocks(spark: SparkSession, d: str) -> DataFrame:
     return B.aggregate_blocks(roles.post_items(spark, d), POST_ROWS)
 
 
+@once
+def blocks_path(spark: SparkSession, d: str) -> str:
+    """Block tables of both kinds by month, as the second stage writes them."""
+    path = scratch_path(spark, "blocks")
+    io.write_by_month(comment_blocks(spark, d), path, rebalance=True)
+    io.write_by_month(post_blocks(spark, d), path, rebalance=True)
+    return path
+
+
+def written_blocks(spark: SparkSession, d: str, kind: str) -> DataFrame:
+    return io.read_blocks(spark, blocks_path(spark, d), kind)
+
+
 @once
 def classified(spark: SparkSession, d: str) -> str:
     """Both kinds of raw lines, parsed once and written."""
@@ -93,8 +89,8 @@ def published(spark: SparkSession, d: str) -> str:
     """All stages over the tables, staged, checked and published."""
     base = scratch_path(spark, "tables")
     merged = {
-        "comments": merge_short_tails(comment_blocks(spark, d), COMMENT_MIN, COMMENT_ROWS).drop("type"),
-        "posts": merge_short_tails(post_blocks(spark, d), POST_MIN, POST_ROWS).drop("type"),
+        "comments": merge_short_tails(written_blocks(spark, d, "comments"), COMMENT_MIN, COMMENT_ROWS).drop("type"),
+        "posts": merge_short_tails(written_blocks(spark, d, "posts"), POST_MIN, POST_ROWS).drop("type"),
     }
     tables: dict[str, DataFrame] = {}
     for kind, blocks in merged.items():
@@ -125,12 +121,12 @@ def base36_roundtrip(spark, d):
 
 @query
 def clean_text_documents(spark, d):
-    return table(spark, d, "documents").select("doc_id", clean_text(F.col("text")).alias("body"))
+    return roles.spread(table(spark, d, "documents"), "doc_id").select("doc_id", clean_text(F.col("text")).alias("body"))
 
 
 @query
 def clean_text_pages(spark, d):
-    return table(spark, d, "pages").select("page_id", clean_text(F.col("html")).alias("title"))
+    return roles.spread(table(spark, d, "pages"), "page_id").select("page_id", clean_text(F.col("html")).alias("title"))
 
 
 @query
@@ -343,17 +339,17 @@ def positive_scores(spark, d):
 
 @query
 def merge_short_tail(spark, d):
-    return merge_short_tails(post_blocks(spark, d), POST_MIN, POST_ROWS)
+    return merge_short_tails(written_blocks(spark, d, "posts"), POST_MIN, POST_ROWS)
 
 
 @query
 def merge_short_tail_large_groups(spark, d):
-    return merge_short_tails(post_blocks(spark, d), POST_MIN, POST_ROWS, max_group_rows=50)
+    return merge_short_tails(written_blocks(spark, d, "posts"), POST_MIN, POST_ROWS, max_group_rows=50)
 
 
 @query
 def merge_short_tail_comments(spark, d):
-    return merge_short_tails(comment_blocks(spark, d), COMMENT_MIN, COMMENT_ROWS)
+    return merge_short_tails(written_blocks(spark, d, "comments"), COMMENT_MIN, COMMENT_ROWS)
 
 
 # --- quality and files ---------------------------------------------------------------

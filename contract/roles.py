@@ -6,18 +6,46 @@ the posts (one dump per month), ``documents`` and ``pages`` give the texts.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modtally.functions import int_to_id
+from modtally.session import scratch_path
 
 COMMENT_MONTH = "2001-01"
 
 
+_written: dict[tuple, object] = {}
+
+
+def once(f):
+    """Build a written table once per session and data folder; later queries read it."""
+
+    @wraps(f)
+    def cached(spark: SparkSession, sf_dir: str):
+        key = (f.__name__, spark.sparkContext.applicationId, sf_dir)
+        if key not in _written:
+            _written[key] = f(spark, sf_dir)
+        return _written[key]
+
+    return cached
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores when the table is a file or two, which one task would read alone.
+
+    A folder with at least as many files as cores stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+
+
 def epoch(column: str) -> Column:
     return F.unix_seconds(F.col(column).cast("timestamp"))
 
@@ -36,7 +64,7 @@ COMMENT_POS = (
 
 
 def comment_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    item = table(spark, sf_dir, "lineitem")
+    item = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     special = F.col("l_linenumber") == 7
     return item.select(
         F.lit("comments").alias("type"),
@@ -98,7 +126,7 @@ def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def post_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.lit("posts").alias("type"),
         F.date_format("o_orderdate", "yyyy-MM").alias("month"),
         int_to_id(key).alias("id"),
@@ -165,14 +193,21 @@ def post_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def comment_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One daily dump per shipping day: ``day, size, m``."""
-    return (
+@once
+def comment_days_path(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "days")
+    days = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"))
+        .groupBy(F.to_date("l_shipdate").alias("date"))
         .agg(F.sum(F.col("l_quantity").cast("long")).alias("size"))
-        .withColumn("m", F.substring("day", 6, 2).cast("int"))
     )
+    days.select(F.date_format("date", "yyyy-MM-dd").alias("day"), "size", F.month("date").alias("m")).write.parquet(path)
+    return path
+
+
+def comment_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One daily dump per shipping day: ``day, size, m``. Several lists derive from it."""
+    return spark.read.parquet(comment_days_path(spark, sf_dir))
 
 
 def comment_months(spark: SparkSession, sf_dir: str) -> DataFrame:
