@@ -20,7 +20,7 @@ from ..operators.slim import classify, kept_items, quarantined, rejected_files
 from ..schemas import CLASSIFIED, ID_LIST, ITEM_TYPES
 from ..sources import tables as io
 from ..sources.dumps import decode_lines, judge_files, list_files, read_dumps, readable_files
-from ..streaming.incremental import pending_months, table_exists
+from ..streaming.incremental import file_times, is_stale, pending_months, table_exists
 from . import publish as publication
 
 
@@ -110,8 +110,12 @@ def build_blocks(spark: SparkSession, out: str, settings: Settings = Settings())
 
 
 def build_merged(spark: SparkSession, out: str, settings: Settings = Settings()) -> DataFrame:
-    """Stage 3: one block table per type over all months."""
+    """Stage 3: one block table per type over all months, unless it is newer than they are."""
     path = f"{out}/merged"
+    if not settings.force and table_exists(spark, path):
+        stale = is_stale(file_times(spark, f"{out}/blocks"), file_times(spark, path))
+        if not stale.first().stale:
+            return spark.read.parquet(path)
     blocks = io.read_blocks(spark, f"{out}/blocks")
     merge_short_tails(blocks, settings.min_rows, settings.n_rows, settings.max_group_rows).write.mode(
         "overwrite"

@@ -16,6 +16,9 @@ from .manifest import parent_sizes
 # Codecs the JVM text reader handles itself. A bz2 file is even split into blocks.
 JVM_EXTENSIONS = (".gz", ".bz2")
 
+# Positions that count as one chunk of a file.
+CHUNK_LINES = 1 << 16
+
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """``path, name, size, modified`` plus the name parts. File contents are not read."""
@@ -152,19 +155,28 @@ def read_dumps(
 def cap_lines(lines: DataFrame, max_lines: int) -> DataFrame:
     """The first ``max_lines`` lines of each file of an already scanned table (0 = all).
 
-    Each input split is cut first, so the second window sees at most ``max_lines`` rows
-    of every split of a file.
+    Lines are counted in chunks of a fixed number of positions; a running sum over the
+    chunk counts tells which chunks are needed, and only lines inside one chunk are ranked.
+    So no task ever sorts a whole file.
     """
     if not max_lines:
         return lines
-    in_split = Window.partitionBy("file", "pos.start").orderBy("pos")
-    in_file = Window.partitionBy("file").orderBy("pos")
+    placed = lines.withColumns({"_start": F.col("pos.start"), "_chunk": F.expr(f"pos.line div {CHUNK_LINES}")})
+    chunk = ["file", "_start", "_chunk"]
+    in_file = Window.partitionBy("file").orderBy("_start", "_chunk")
+    needed = (
+        placed.groupBy(*chunk)
+        .count()
+        .withColumn("_before", F.sum("count").over(in_file) - F.col("count"))
+        .where(F.col("_before") < max_lines)
+        .drop("count")
+    )
+    rank = F.row_number().over(Window.partitionBy(*chunk).orderBy("pos"))
     return (
-        lines.withColumn("_n", F.row_number().over(in_split))
-        .where(F.col("_n") <= max_lines)
-        .withColumn("_n", F.row_number().over(in_file))
-        .where(F.col("_n") <= max_lines)
-        .drop("_n")
+        placed.join(needed, chunk)
+        .withColumn("_rank", F.col("_before") + rank)
+        .where(F.col("_rank") <= max_lines)
+        .select(*lines.columns)
     )
 
 
@@ -179,4 +191,5 @@ def decode_lines(lines: DataFrame, whole_file: bool = False) -> DataFrame:
     if not whole_file:
         return lines.withColumn("value", F.when(F.is_valid_utf8(raw), raw).otherwise(latin))
     flags = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8(raw)).alias("_valid"))
-    return lines.join(flags, "file").withColumn("value", F.when(F.col("_valid"), raw).otherwise(latin)).drop("_valid")
+    # One row per dump file, so the flags always fit every executor.
+    return lines.join(F.broadcast(flags), "file").withColumn("value", F.when(F.col("_valid"), raw).otherwise(latin)).drop("_valid")

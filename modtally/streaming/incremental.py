@@ -26,6 +26,12 @@ def is_stale(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     )
 
 
+def file_times(spark: SparkSession, path: str) -> DataFrame:
+    """``modified`` of every file of a table."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return listed.select(F.col("modificationTime").alias("modified"))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds any file Spark would read."""
     try:

@@ -5,6 +5,7 @@ import gzip
 import json
 import lzma
 import random
+from pathlib import Path
 
 import pytest
 import zstandard
@@ -146,7 +147,7 @@ def test_second_run_publishes_again_and_touches_no_done_month(spark, dumps, buil
     raw, _, posts = dumps
     out, before = built
     counts = {k: v.count() for k, v in before.items()}
-    done = {f: f.stat().st_mtime_ns for f in __import__("pathlib").Path(out, "slim").rglob("*.parquet")}
+    done = {f: f.stat().st_mtime_ns for f in Path(out, "slim").rglob("*.parquet")}
     rnd = random.Random(9)
     (raw / "RC_2018-06.gz").write_bytes(pack([json.dumps(comment(rnd, "2018-06", 5000 + i)) for i in range(200)], "gz"))
     skip = spark.createDataFrame([("RC_2018-05",)], "basename string")
@@ -159,6 +160,16 @@ def test_second_run_publishes_again_and_touches_no_done_month(spark, dumps, buil
     assert {k: v.count() for k, v in P.read_version(spark, f"{out}/tables", 1).items()} == counts
 
 
+def test_merged_blocks_are_rebuilt_only_when_older(spark, built):
+    out, _ = built
+    merged = lambda: {f: f.stat().st_mtime_ns for f in Path(out, "merged").rglob("*.parquet")}
+    before = merged()
+    B.build_merged(spark, out, SETTINGS)
+    assert merged() == before
+    B.build_merged(spark, out, B.Settings(n_rows=20, min_rows=10, force=True))
+    assert merged() != before
+
+
 def test_a_broken_version_is_not_published(spark, built, tmp_path):
     _, t = built
     base = str(tmp_path / "tables")

@@ -105,6 +105,18 @@ def test_line_cap(spark, tmp_path):
     assert cap_lines(read_dumps(spark, [str(a), str(b)]), 0).count() == 1000
 
 
+@pytest.mark.parametrize("limit", [1, 7, 8, 250, 999, 5000])
+def test_line_cap_over_many_chunks(spark, monkeypatch, limit):
+    monkeypatch.setattr("modtally.sources.dumps.CHUNK_LINES", 8)
+    rows = spark.range(1200).selectExpr(
+        "if(id % 3 = 0, 'small', 'large') AS file",
+        "struct(id div 400 AS start, id * 3 AS line) AS pos",
+        "id AS n",
+    )
+    expected = sorted([n for n in range(1200) if n % 3 == 0][:limit] + [n for n in range(1200) if n % 3][:limit])
+    assert sorted(r.n for r in cap_lines(rows.repartition(5), limit).collect()) == expected
+
+
 def test_encoding_fallback(spark, tmp_path):
     data = b"ascii\n" + "café".encode("latin-1") + b"\n" + "naïve".encode() + b"\n"
     for extension in ("gz", "zst"):
