@@ -94,7 +94,7 @@ def digits_of(text: str) -> str:
 
 
 def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
-    ips = [m.span() for m in IP.finditer(text) if all(len(p := p.lstrip("0")) <= 3 and int(p or 0) <= 255 for p in m.group().split("."))]
+    ips = [m.span() for m in IP.finditer(text) if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m.group().split(".")))]
     cards = [m.span() for m in CARD.finditer(text) if m.end() - m.start() >= 16 and 16 <= len(d := digits_of(m.group())) <= 19 and luhn(d)]
     phones = [m.span() for m in PHONE.finditer(text) if 8 <= len(digits_of(m.group())) <= 15] if "+" in text else []
     return {"email": emails(text) if "@" in text else [], "ip": ips, "card": cards, "phone": phones}
