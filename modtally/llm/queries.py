@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, pii, sentencepiece_codec
+from . import chat_format, pii, sentencepiece_codec, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +78,8 @@ FROM c
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("n_tokens", "ids_sha256", "decoded_sha256")
     return sentencepiece_codec.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), columns)
+
+
+@query
+def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
