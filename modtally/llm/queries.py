@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, pii, sentencepiece_codec, superminhash
+from . import chat_format, pii, sentencepiece_codec, superkmers, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,3 +83,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@query
+def op7_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.remove_repeats(table(spark, sf_dir, "documents"), size=20, keep_text=False)
