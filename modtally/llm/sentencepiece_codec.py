@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from .frames import id_and_text, pieces
 
 SPACE = "▁"
-# Distinct cuts a task remembers before it starts afresh (about 300 bytes each).
-REMEMBERED = 400_000
+# Distinct cuts a task remembers before it starts afresh (about 350 bytes each).
+REMEMBERED = 1_000_000
 
 
 class Agenda:
