@@ -67,13 +67,13 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 def rolling(values: np.ndarray, width: int) -> np.ndarray:
-    """Mixed hash of every ``width`` consecutive values; row bounds are the caller's concern."""
+    """Mixed hash of every ``width`` consecutive values (words' hashes, or bytes); row bounds are the caller's concern."""
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     up, down = powers(len(values))
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(mix(values) * up, out=sums[1:])
+    np.cumsum((byte_values()[values] if values.dtype == np.uint8 else mix(values)) * up, out=sums[1:])
     return mix((sums[width:] - sums[:n]) * down[:n])
 
 

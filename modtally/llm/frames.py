@@ -45,12 +45,12 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES, name: st
             first = last
 
 
-def over_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Run ``work`` on pieces of at most ``PIECE_BYTES`` of text in every partition."""
+def over_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = PIECE_BYTES) -> DataFrame:
+    """Run ``work`` on pieces of at most ``limit`` bytes of text in every partition."""
     cut = pieces
 
     def run(batches):
-        for piece in cut(batches):
+        for piece in cut(batches, limit):
             out = work(piece)
             if out is not None and out.num_rows:
                 yield out

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, pii, sentencepiece_codec, superkmers, superminhash
+from . import chat_format, pii, sentencepiece_codec, suffix_array, superkmers, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,8 @@ def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.remove_repeats(table(spark, sf_dir, "documents"), size=20, keep_text=False)
+
+
+@query
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.remove_repeated_bytes(table(spark, sf_dir, "documents"), size=200, keep_bytes=False)
