@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, pii, sentencepiece_codec, suffix_array, superkmers, superminhash
+from . import chat_format, kneser_ney, pii, sentencepiece_codec, suffix_array, superkmers, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,3 +93,14 @@ def op7_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.remove_repeated_bytes(table(spark, sf_dir, "documents"), size=200, keep_bytes=False)
+
+
+@query
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = kneser_ney.is_held_out(F.col("doc_id"))
+    model = kneser_ney.train(kneser_ney.id_and_text(docs).where(~held_out))
+    scored = kneser_ney.score(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score", "perplexity"
+    )

@@ -79,3 +79,50 @@ def repeated_bytes(docs, size):
         spans = len(re.findall(b"\1+", bytes(gone)))
         out[i] = (len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest())
     return out
+
+
+def discounts(values):
+    n = [sum(1 for v in values if v == i) for i in (1, 2, 3, 4)]
+    if not min(n):
+        return (0.5, 1.0, 1.5)
+    y = n[0] / (n[0] + 2 * n[1])
+    found = [i - (i + 1) * y * n[i] / n[i - 1] for i in (1, 2, 3)]
+    return tuple(d if 0 < d < i else f for i, d, f in zip((1, 2, 3), found, (0.5, 1.0, 1.5), strict=True))
+
+
+def kneser_ney(train, docs):
+    """doc_id -> (tokens, known, base score, score), from dictionaries."""
+    from collections import Counter, defaultdict
+    from math import log10
+
+    toks = lambda t: [*words(lower(t or "")), None]
+    uni, bi = Counter(), Counter()
+    for _, t in train:
+        w = toks(t)
+        uni.update(w)
+        bi.update(zip([0, *w[:-1]], w, strict=True))
+    left, after, kinds = Counter(), Counter(), defaultdict(Counter)
+    for (v, w), c in bi.items():
+        left[w] += 1
+        after[v] += c
+        kinds[v][min(c, 3)] += 1
+    d, dl = discounts(bi.values()), discounts(left.values())
+    total, n, size = sum(left.values()), sum(uni.values()), len(uni)
+    spare = sum(dl[min(c, 3) - 1] for c in left.values()) / total if total else 1.0
+
+    def low(w):
+        c = left[w]
+        return (max(c - dl[min(c, 3) - 1], 0) / total if c else 0) + spare / (size + 1)
+
+    def prob(v, w):
+        if not after[v]:
+            return low(w)
+        c = bi[v, w]
+        return (max(c - d[min(c, 3) - 1], 0) if c else 0) / after[v] + sum(d[i - 1] * kinds[v][i] for i in (1, 2, 3)) / after[v] * low(w)
+
+    out = {}
+    for i, t in docs:
+        w = toks(t)
+        base = sum(log10((uni[x] + 0.1) / (n + 0.1 * (size + 1))) for x in w)
+        out[i] = (len(w), sum(x in uni for x in w), base, sum(log10(prob(v, x)) for v, x in zip([0, *w[:-1]], w, strict=True)))
+    return out
