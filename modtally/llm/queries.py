@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, kneser_ney, pii, sentencepiece_codec, suffix_array, superkmers, superminhash
+from . import chat_format, kneser_ney, pii, pu_quality, sentencepiece_codec, suffix_array, superkmers, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +104,12 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score", "perplexity"
     )
+
+
+@query
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = pu_quality.in_part(F.col("doc_id"))
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    model = pu_quality.train(docs, good, usable=~held_out)
+    return pu_quality.classify(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
