@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, kneser_ney, pii, pu_quality, sentencepiece_codec, suffix_array, superkmers, superminhash
+from . import chat_format, flat_graph, kneser_ney, pii, pu_quality, sentencepiece_codec, suffix_array, superkmers, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,3 +113,9 @@ def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     model = pu_quality.train(docs, good, usable=~held_out)
     return pu_quality.classify(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result, recall = flat_graph.near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+    return result.withColumn("audited_recall", F.lit(recall))
