@@ -29,12 +29,12 @@ from . import winnow
 from .arrays import mix, ranges, rolling, word_bounds, word_hashes
 from .frames import id_and_text, over_texts, pieces, text_bytes, write_shared
 
-K = 4
+K = 3
 BUCKET_BYTES = 4 << 20
 LEAST_BUCKETS = 64
 # Distinct strings of frequent minimisers that a task remembers.
 REMEMBERED = 200_000
-META = np.dtype([("id", "<i8"), ("th", "<i8"), ("start", "<i8"), ("words", "<i4"), ("bytes", "<i4")])
+META = np.dtype([("id", "<i8"), ("th", "<i4"), ("start", "<i8"), ("words", "<i4"), ("bytes", "<i4")])
 
 
 def packed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +115,8 @@ def _ship(piece: pa.RecordBatch, size: int, common: winnow.Common, buckets: int,
         repeat = np.array(repeat)
         keys = list(zip(ids.tolist(), ths.tolist(), strict=True))
         spans = winnow.spans_batch(keys, row[repeat], start[repeat], start[repeat] + width[repeat])
-    ship = np.array(ship)
+    # In the order of the texts, so that neighbours in a bucket have near ids.
+    ship = np.sort(np.array(ship))
     bucket = (mix(gram[first[ship]]) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     ship, bucket = ship[order], bucket[order]
@@ -126,10 +127,10 @@ def _ship(piece: pa.RecordBatch, size: int, common: winnow.Common, buckets: int,
     body = norm[ranges(low, high - low)]
     body_at = np.concatenate(([0], np.cumsum(high - low)))
     cuts = np.append(np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), len(bucket))
-    codec = pa.Codec("zstd", compression_level=1)
+    codec = pa.Codec("zstd", compression_level=3)
     blobs = []
     for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-        whole = np.concatenate((meta[i:j].view(np.uint8), body[body_at[i] : body_at[j]]))
+        whole = np.concatenate((winnow.record_bytes(meta[i:j]), body[body_at[i] : body_at[j]]))
         blobs.append((int(bucket[i]), int(j - i), len(whole), codec.compress(whole, asbytes=True)))
     b, n, total, blob = zip(*blobs, strict=True)
     return (b, n, total, blob), spans
@@ -141,7 +142,7 @@ def _count(strings: pa.Table, size: int) -> pa.RecordBatch | None:
     metas, bodies = [], []
     for n, total, blob in zip(*(strings.column(c).to_pylist() for c in ("n", "total", "blob")), strict=True):
         whole = np.frombuffer(codec.decompress(blob, total, asbytes=True), np.uint8)
-        metas.append(whole[: n * META.itemsize].view(META))
+        metas.append(winnow.records(whole, n, META))
         bodies.append(whole[n * META.itemsize :])
     meta, raw = np.concatenate(metas), np.concatenate(bodies)
     offsets = np.concatenate(([0], np.cumsum(meta["bytes"], dtype=np.int64)))
@@ -223,14 +224,14 @@ def remove_repeats(docs: DataFrame, size: int = 20, keep_text: bool = True, id_c
 
     def pack(batches):
         common, seen = listed(shared.value), {}
-        for at, piece in enumerate(cut(batches)):
+        for piece in cut(batches):
             strings, spans = ship(piece, size, common, buckets, seen)
             if strings:
                 yield rows_of(dict(zip(kinds, strings, strict=True)), len(strings[0]))
             if spans is not None:
                 # Known spans travel with any bucket, whose task hands them on.
                 given = dict(zip(spans.schema.names, spans.columns, strict=True))
-                yield rows_of({"bucket": [at % buckets] * spans.num_rows, **given}, spans.num_rows)
+                yield rows_of({"bucket": [i % buckets for i in given["th"].to_pylist()], **given}, spans.num_rows)
 
     def sort_bucket(key, rows):
         strings = rows.filter(pc.is_valid(rows.column("blob"))).combine_chunks()

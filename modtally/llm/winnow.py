@@ -114,6 +114,15 @@ def merged(starts: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple[np.
     return owner[first], starts[first], (reach - apart)[last]
 
 
+def record_bytes(records: np.ndarray) -> np.ndarray:
+    """Records as byte planes: the high bytes of a field, mostly zero, lie together and pack well."""
+    return np.ascontiguousarray(records.view(np.uint8).reshape(len(records), -1).T).reshape(-1)
+
+
+def records(raw: np.ndarray, n: int, kind: np.dtype) -> np.ndarray:
+    return np.ascontiguousarray(raw[: n * kind.itemsize].reshape(-1, n).T).reshape(-1).view(kind)
+
+
 def spans_batch(keys: list[tuple[int, int]], owner: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch | None:
     """Merged spans as one row per owner: ``id, th, begins, ends``. ``owner`` indexes ``keys``."""
     owner, starts, ends = merged(starts, ends, owner)
@@ -134,7 +143,7 @@ SPANS_ARROW = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("begins", pa.l
 
 def keyed(texts: DataFrame) -> DataFrame:
     """Add the key of a row: ``id`` (a null id goes first) and ``th``, a hash that parts rows of one id."""
-    return texts.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").alias("th"))
+    return texts.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").bitwiseAND(0x7FFFFFFF).alias("th"))
 
 
 def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
@@ -149,5 +158,6 @@ def covered(length: int, rows: np.ndarray, begins: pa.Array, ends: pa.Array) ->
     for lists, sign in ((begins, 1), (ends, -1)):
         lists = lists.fill_null([])
         sizes = np.diff(lists.offsets.to_numpy())
-        np.add.at(edge, lists.flatten().to_numpy() + np.repeat(rows[:-1], sizes), sign)
+        at = lists.flatten().to_numpy() + np.repeat(rows[:-1], sizes)
+        np.add.at(edge, np.minimum(at, np.repeat(rows[1:], sizes)), sign)
     return np.cumsum(edge[:-1]) > 0
