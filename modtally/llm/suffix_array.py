@@ -33,12 +33,12 @@ from .frames import id_and_text, over_texts, pieces, text_bytes, write_shared
 
 K = 16
 PIECE = 2 << 20
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 LEAST_BUCKETS = 64
 # Leading strings a piece offers as splitters, and how many are looked at in all.
 OFFERED, SPLITTER_SAMPLE = 64, 50_000
 REMEMBERED = 200_000
-META = np.dtype([("id", "<i8"), ("th", "<i8"), ("start", "<i8"), ("anchor", "<i4"), ("windows", "<i4"), ("many", "<i4")])
+META = np.dtype([("id", "<i8"), ("th", "<i4"), ("start", "<i8"), ("anchor", "<i4"), ("windows", "<i4"), ("many", "<i4")])
 
 
 def column(batch, name):
@@ -120,7 +120,8 @@ def _ship(piece: pa.RecordBatch, size: int, common: winnow.Common, splitters: np
         spans = winnow.spans_batch(list(named), owner, np.array([r[2] for r in repeat]), np.array([r[3] for r in repeat]))
     if not ship:
         return None, spans
-    ship, many = np.array(ship), np.array(many)
+    in_text = np.argsort(np.array(ship))
+    ship, many = np.array(ship)[in_text], np.array(many)[in_text]
     bucket = np.searchsorted(splitters, leading(raw, place[ship]), side="right")
     order = np.argsort(bucket, kind="stable")
     ship, many, bucket = ship[order], many[order], bucket[order]
@@ -130,10 +131,10 @@ def _ship(piece: pa.RecordBatch, size: int, common: winnow.Common, splitters: np
     body = raw[ranges(begin[ship], width[ship])]
     body_at = np.concatenate(([0], np.cumsum(width[ship])))
     cuts = np.append(np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), len(bucket))
-    codec = pa.Codec("zstd", compression_level=1)
+    codec = pa.Codec("zstd", compression_level=3)
     rows = []
     for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-        block = np.concatenate((meta[i:j].view(np.uint8), body[body_at[i] : body_at[j]]))
+        block = np.concatenate((winnow.record_bytes(meta[i:j]), body[body_at[i] : body_at[j]]))
         rows.append((int(bucket[i]), int(j - i), len(block), codec.compress(block, asbytes=True)))
     return tuple(zip(*rows, strict=True)), spans
 
@@ -178,7 +179,7 @@ def _sorted_spans(blocks: pa.Table, size: int) -> pa.RecordBatch | None:
     metas, bodies = [], []
     for n, total, blob in zip(*(blocks.column(c).to_pylist() for c in ("n", "total", "blob")), strict=True):
         block = np.frombuffer(codec.decompress(blob, total, asbytes=True), np.uint8)
-        metas.append(block[: n * META.itemsize].view(META))
+        metas.append(winnow.records(block, n, META))
         bodies.append(block[n * META.itemsize :])
     meta, raw = np.concatenate(metas), np.concatenate(bodies)
     width = meta["windows"].astype(np.int64) + size - 1
@@ -280,13 +281,13 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 200, keep_bytes: bool = T
     def pack(batches):
         hashes, splitters = shared.value
         common, seen = listed(hashes), {}
-        for at, piece in enumerate(cut(batches, limit)):
+        for piece in cut(batches, limit):
             blocks, spans = ship(piece, size, common, splitters, seen)
             if blocks:
                 yield rows_of(dict(zip(kinds, blocks, strict=True)), len(blocks[0]))
             if spans is not None:
                 given = dict(zip(spans.schema.names, spans.columns, strict=True))
-                yield rows_of({"bucket": [at % buckets] * spans.num_rows, **given}, spans.num_rows)
+                yield rows_of({"bucket": [i % buckets for i in given["th"].to_pylist()], **given}, spans.num_rows)
 
     def sort_bucket(key, rows):
         blocks = rows.filter(pc.is_valid(rows.column("blob"))).combine_chunks()
