@@ -18,6 +18,7 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -212,6 +213,6 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFram
     @F.pandas_udf("double")
     def score(texts):
         array = pa.array(texts.fillna(""), pa.large_string())
-        return __import__("pandas").Series(judge.score(measure(*text_bytes(pa.RecordBatch.from_arrays([array], ["text"])))))
+        return pd.Series(judge.score(measure(*text_bytes(pa.RecordBatch.from_arrays([array], ["text"])))))
 
     return docs.where(score(F.col(text_col).cast("string")) >= 0.5)

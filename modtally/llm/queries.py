@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, flat_graph, kneser_ney, pii, pu_quality, sentencepiece_codec, suffix_array, superkmers, superminhash
+from . import chat_format, flat_graph, kneser_ney, latent_decontam, pii, pu_quality, sentencepiece_codec, suffix_array, superkmers, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,3 +119,8 @@ def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     result, recall = flat_graph.near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
     return result.withColumn("audited_recall", F.lit(recall))
+
+
+@query
+def op5_latent_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent_decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
