@@ -5,8 +5,8 @@ image, audio and document parts in order: text stays, every attachment becomes a
 placeholder, its reference is recorded, and its placeholder counts as ``expanded`` tokens.
 
 The template marks a turn as ``<|role:NAME|>\\n…<|end|>\\n`` and a placeholder as ``<|TYPE:N|>``.
-Inside texts and names ``\\`` becomes ``\\\\`` and ``<|`` becomes ``<\\p``, so that no text can
-forge a mark, and ``unescape`` restores every text exactly.
+Inside texts and names ``\\`` becomes ``\\\\`` and ``<|`` becomes ``<\\p`` (in names also ``|>``
+becomes ``|\\q``), so that no text can forge a mark, and ``unescape`` restores it exactly.
 """
 
 from __future__ import annotations
@@ -28,6 +28,15 @@ def escape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\p"))
 
 
+def escape_name(name: Column) -> Column:
+    """A name must not close its mark either: ``|>`` becomes ``|\\q``."""
+    return F.replace(escape(name), F.lit("|>"), F.lit("|\\q"))
+
+
+def unescape_name(name: Column) -> Column:
+    return unescape(F.replace(name, F.lit("|\\q"), F.lit("|>")))
+
+
 def unescape(text: Column) -> Column:
     """Single backslashes stand only in ``<\\p``; all others come in pairs."""
     return F.replace(F.replace(text, F.lit("<\\p"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
@@ -53,7 +62,7 @@ def visit(part: Column, number: Column) -> Column:
     """Formatted form of one part; ``number`` counts the attachments of its turn before it."""
     kind = F.coalesce(part["type"], F.lit("text"))
     return F.when(
-        is_attachment(part), F.concat(F.lit("<|"), escape(F.replace(kind, F.lit("|>"), F.lit("|"))), F.lit(":"), number.cast("string"), F.lit("|>"))
+        is_attachment(part), F.concat(F.lit("<|"), escape_name(kind), F.lit(":"), number.cast("string"), F.lit("|>"))
     ).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
 
 
@@ -105,7 +114,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
         "conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), "flat", "attachments", "tokens").alias("t")
     )
     chats = one.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    shown = F.transform("turns", lambda t: F.concat(F.lit("<|role:"), escape(t["role"]), F.lit("|>\n"), t["flat"], F.lit(END)))
+    shown = F.transform("turns", lambda t: F.concat(F.lit("<|role:"), escape_name(t["role"]), F.lit("|>\n"), t["flat"], F.lit(END)))
     files = F.flatten(
         F.transform(
             "turns",
@@ -128,7 +137,7 @@ def read_back(formatted: Column) -> Column:
     return F.transform(
         marked,
         lambda x: F.struct(
-            unescape(F.substring_index(x, "|>\n", 1)).alias("role"),
+            unescape_name(F.substring_index(x, "|>\n", 1)).alias("role"),
             unescape(
                 F.substring(
                     x,

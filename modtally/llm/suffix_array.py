@@ -287,7 +287,7 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 200, keep_bytes: bool = T
                 yield rows_of(dict(zip(kinds, blocks, strict=True)), len(blocks[0]))
             if spans is not None:
                 given = dict(zip(spans.schema.names, spans.columns, strict=True))
-                yield rows_of({"bucket": [i % buckets for i in given["th"].to_pylist()], **given}, spans.num_rows)
+                yield rows_of({"bucket": [i % buckets for i in given["id"].to_pylist()], **given}, spans.num_rows)
 
     def sort_bucket(key, rows):
         blocks = rows.filter(pc.is_valid(rows.column("blob"))).combine_chunks()

@@ -231,7 +231,7 @@ def remove_repeats(docs: DataFrame, size: int = 20, keep_text: bool = True, id_c
             if spans is not None:
                 # Known spans travel with any bucket, whose task hands them on.
                 given = dict(zip(spans.schema.names, spans.columns, strict=True))
-                yield rows_of({"bucket": [i % buckets for i in given["th"].to_pylist()], **given}, spans.num_rows)
+                yield rows_of({"bucket": [i % buckets for i in given["id"].to_pylist()], **given}, spans.num_rows)
 
     def sort_bucket(key, rows):
         strings = rows.filter(pc.is_valid(rows.column("blob"))).combine_chunks()
