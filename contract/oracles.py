@@ -232,7 +232,8 @@ def _top_comments(by: str, limit: int | None, more: str = "") -> str:
     return f"""WITH {ALL}
 SELECT trim(m.subreddit) AS subreddit, m.rate, m.last_created_utc, trim(m.id_of_max_pos_removed_item) AS id_of_max_pos_removed_item,
        trim(m.last_id) AS last_id, m.total_items, trim(c.body) AS body, c.created_utc, trim(c.link_id) AS link_id,
-       trim(p.title) AS title, m.score_of_max_pos_removed_item AS score
+       trim(p.title) AS title, m.score_of_max_pos_removed_item AS score,
+       row_number() OVER (ORDER BY m.{key} DESC, m.last_id DESC) AS place
 FROM comment_merged m LEFT JOIN comments_table c ON m.id_of_max_pos_removed_item = c.id LEFT JOIN posts_table p ON c.link_id = p.id
 WHERE m.last_id IN (
   SELECT last_id FROM comment_merged WHERE subreddit = '{COMMUNITY}' {more} ORDER BY {key} DESC, last_id DESC {limited}
@@ -246,7 +247,7 @@ def _top_posts(by: str, limit: int | None, more: str = "") -> str:
     return f"""WITH {ALL}
 SELECT trim(m.subreddit) AS subreddit, m.rate, m.last_created_utc, trim(m.id_of_max_pos_removed_item) AS id_of_max_pos_removed_item,
        trim(m.last_id) AS last_id, m.total_items, trim(p.title) AS title, p.num_comments, p.created_utc,
-       m.score_of_max_pos_removed_item AS score
+       m.score_of_max_pos_removed_item AS score, row_number() OVER (ORDER BY m.{key} DESC, m.last_id DESC) AS place
 FROM post_merged m LEFT JOIN posts_table p ON m.id_of_max_pos_removed_item = p.id
 WHERE m.last_id IN (
   SELECT last_id FROM post_merged WHERE subreddit = '{PRIORITY}' {more} ORDER BY {key} DESC, last_id DESC {limited}
@@ -273,6 +274,16 @@ _COMMENT_RULES = [
     ("link_id", "length <= 15", "length(link_id) > 15"),
 ]
 
+_null = lambda *names: [(c, "not null", f"{c} IS NULL") for c in names]
+_long = lambda **limits: [(c, f"length <= {n}", f"length({c}) > {n}") for c, n in limits.items()]
+_BLOCK_RULES = _null(*BLOCK.split(", ")) + _long(subreddit=30, last_id=15, id_of_max_pos_removed_item=15)
+_RULES = [
+    ("comments", "unclean", _COMMENT_RULES),
+    ("posts", "posts_table", _null("id", "created_utc", "num_comments") + _long(id=15, title=300)),
+    ("aggregate_comments", "comment_merged", _BLOCK_RULES),
+    ("aggregate_posts", "post_merged", _BLOCK_RULES),
+]
+
 ORACLES: dict[str, str] = {
     "base36_roundtrip": f"""
 SELECT o_orderkey,
@@ -295,6 +306,7 @@ SELECT strftime(d, '%Y-%m-%d') AS period FROM (
   SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders)""",
     "slim_comments": _SLIM_COMMENTS,
     "slim_posts": f"WITH {POSTS} SELECT month, {SLIM} FROM post_items",
+    "slim_float_numbers": f"WITH {POSTS} SELECT month, {SLIM} FROM post_items",
     "outcome_report": f"""WITH {COMMENTS},{POSTS}
 SELECT type, outcome, reason, count(*) AS lines FROM (
   SELECT 'comments' AS type, CASE kind WHEN 'item' THEN 'keep' WHEN 'advert' THEN 'ignore' ELSE 'quarantine' END AS outcome,
@@ -321,6 +333,11 @@ SELECT file, o_orderkey FROM (
     "scan_xz": _SLIM_COMMENTS,
     "slim_csv_roundtrip": f"WITH {POSTS} SELECT type, month, {SLIM} FROM post_items",
     "dedup_keep_last": f"WITH {COMMENTS} SELECT {SLIM} FROM unique_comments",
+    "dedup_two_files_of_month": f"""WITH {COMMENTS},
+both_files AS (
+  SELECT 1 AS file, * FROM comment_items UNION ALL SELECT 2, * REPLACE (score + 100 AS score) FROM comment_items WHERE score > 5
+)
+SELECT {SLIM} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY file DESC, pos DESC) AS copy FROM both_files) WHERE copy = 1""",
     "block_number": _NUMBERED,
     "block_number_large_groups": _NUMBERED,
     "block_aggregate": f"WITH {COMMENT_BLOCKS} SELECT type, month, {BLOCK} FROM comment_blocks",
@@ -339,6 +356,17 @@ SELECT type, month, removed, total + 1 AS total, floor(removed * 1000000 / (tota
     "manifest_check": f"WITH {FILES} SELECT name, size, listed_size, parts_size, status FROM judged",
     "daily_size_rollup": f"WITH {FILES} SELECT base, parts_size FROM parts",
     "daily_months": f"WITH {FILES} SELECT type, month, num_days, complete FROM daily_months",
+    "daily_months_incomplete": f"""WITH {FILES},
+held AS (SELECT * FROM judged WHERE NOT (is_daily AND name LIKE '%-09.zst' AND CAST(substr(month, 6, 2) AS INT) % 4 = 0)),
+listed_days AS (SELECT substr(name, 4, 7) AS month, count(*) AS days FROM manifest WHERE length(name) > 14 GROUP BY 1)
+SELECT type, month, count(*) AS num_days, bool_and(coalesce(listed_size = size, false)) AND count(*) = coalesce(max(days), 0) AS complete
+FROM held h LEFT JOIN listed_days USING (month)
+WHERE is_daily AND NOT EXISTS (SELECT 1 FROM judged k WHERE NOT k.is_daily AND k.type = h.type AND k.month = h.month)
+GROUP BY type, month""",
+    "files_with_two_skip_lists": f"""WITH {POSTS},{_SHARES},{FILES},
+skipped AS (SELECT base FROM judged WHERE status = 'skipped' UNION SELECT 'RS_' || month FROM shares WHERE share NOT BETWEEN 0.03 AND 0.09)
+SELECT CASE WHEN status <> 'daily' AND base IN (SELECT base FROM skipped) THEN 'skipped' ELSE status END AS status, count(*) AS files
+FROM judged GROUP BY 1""",
     "files_to_read": f"""WITH {FILES}
 SELECT name, type, month FROM judged j
 WHERE status = 'ready' OR (is_daily AND EXISTS (SELECT 1 FROM daily_months d WHERE d.complete AND d.type = j.type AND d.month = j.month))""",
@@ -355,7 +383,8 @@ LEFT JOIN (SELECT * FROM manifest WHERE name NOT LIKE '%-06.zst') m ON m.name =
 SELECT name, size FROM post_files UNION ALL
 SELECT name, size + 1 FROM manifest WHERE name NOT IN (SELECT name FROM post_files)""",
     "manifest_order": f"""WITH {FILES}
-SELECT name, size FROM manifest ORDER BY length(name) > 14, CASE WHEN length(name) > 14 THEN name ELSE substr(name, 4) END, name""",
+SELECT name, size, row_number() OVER (ORDER BY length(name) > 14, CASE WHEN length(name) > 14 THEN name ELSE substr(name, 4) END, name) AS place
+FROM manifest""",
     "months_to_process": f"WITH {POSTS} SELECT DISTINCT type, month FROM post_items WHERE month >= '1998-01'",
     "output_is_stale": "SELECT (SELECT max(o_orderdate) FROM orders) >= (SELECT max(l_shipdate) FROM lineitem) AS stale",
     "archived_comments": f"WITH {COMMENTS},{STORED} SELECT id, archived FROM stored_flagged",
@@ -364,6 +393,13 @@ SELECT DISTINCT id_of_max_pos_removed_item AS id FROM comment_merged
 WHERE id_of_max_pos_removed_item NOT IN (SELECT id FROM stored_flagged WHERE archived)
   AND id_of_max_pos_removed_item NOT IN (SELECT id FROM inaccessible)""",
     "post_ids_to_lookup": f"WITH {COMMENTS},{POST_MERGED},{STORED} {_MIXED_PARENTS}",
+    "post_ids_to_lookup_stored": f"""WITH {COMMENTS},{POST_MERGED},{STORED}
+SELECT id FROM ({_MIXED_PARENTS}) WHERE id NOT IN (SELECT id FROM post_src WHERE id_int % 4 = 0)""",
+    "enrich_posts_flawed": f"""WITH {POSTS}
+SELECT p.id, p.created_utc, p.o_custkey % 50 AS num_comments,
+       {clean("coalesce(regexp_extract(html, '<title>(.*?)</title>', 1), 'order  by ' || o_custkey)")} AS title
+FROM post_src p LEFT JOIN pages ON page_id = o_custkey
+WHERE month NOT IN (SELECT month FROM post_src WHERE no_flag AND NOT author_deleted)""",
     "ids_not_found": f"WITH {COMMENTS},{POST_MERGED},{STORED} {_NOT_FOUND}",
     "inaccessible_update": f"WITH {COMMENTS},{POST_MERGED},{STORED} SELECT id FROM inaccessible UNION {_NOT_FOUND}",
     "resolve_versions": f"WITH {COMMENTS},{VERSIONS} SELECT * FROM resolved",
@@ -383,29 +419,41 @@ FROM (SELECT * EXCLUDE (score) FROM stored) LEFT JOIN comment_merged ON id = id_
     "enrich_comments": f"WITH {ALL} SELECT * FROM comments_table",
     "enrich_posts": f"WITH {ALL} SELECT * FROM posts_table",
     "enriched_csv_roundtrip": f"WITH {ALL} SELECT * FROM comments_table",
-    "id_list_roundtrip": f"WITH {COMMENTS},{STORED} SELECT id FROM inaccessible ORDER BY id",
+    "id_list_roundtrip": f"WITH {COMMENTS},{STORED} SELECT id, row_number() OVER (ORDER BY id) AS place FROM inaccessible",
     "published_comment_blocks": f"WITH {COMMENT_MERGED} SELECT {BLOCK} FROM comment_merged",
     "published_post_blocks": f"WITH {POST_MERGED} SELECT {BLOCK} FROM post_merged",
+    "published_blocks_keep_all": f"""WITH {COMMENTS},{blocks('comment', COMMENT_ROWS, dropna=False)},{merged('comment', COMMENT_MIN, COMMENT_ROWS)}
+SELECT {BLOCK} FROM comment_merged""",
+    "blocks_csv_roundtrip": f"WITH {POST_MERGED} SELECT {BLOCK}, true AS in_order FROM post_merged",
     "unique_key_report": f"WITH {COMMENTS} SELECT id, count(*) AS copies FROM comment_items GROUP BY id HAVING count(*) > 1",
-    "constraint_report": f"""WITH {COMMENTS},
+    "constraint_report": f"""WITH {ALL},
 unclean AS (
   SELECT id, text AS body, CASE WHEN kind = 'item' THEN created_utc END AS created_utc, link_id
   FROM comment_src LEFT JOIN documents ON l_partkey = doc_id
 )
 """
     + " UNION ALL ".join(
-        f"SELECT 'comments' AS \"table\", '{c}' AS \"column\", '{r}' AS \"rule\", count(*) FILTER ({broken}) AS violations FROM unclean"
-        for c, r, broken in _COMMENT_RULES
+        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", '{r}' AS \"rule\", count(*) FILTER ({broken}) AS violations FROM {source}"
+        for t, source, rules in _RULES
+        for c, r, broken in rules
     )
-    + " UNION ALL SELECT 'comments', 'id', 'primary key', count(*) FROM (SELECT id FROM unclean GROUP BY id HAVING count(*) > 1)",
-    "top_comments_by_rate": _top_comments("rate", 5),
-    "top_comments_by_date": _top_comments("date", 5),
-    "top_comments_paged": _top_comments("date", 4, "AND last_created_utc <= 960000000 AND rate >= 0.01 AND rate <= 0.9"),
+    + "".join(
+        f" UNION ALL SELECT '{t}', '{k}', 'primary key', count(*) FROM (SELECT {k} FROM {source} GROUP BY {k} HAVING count(*) > 1)"
+        for t, source, k in (
+            ("comments", "unclean", "id"),
+            ("posts", "posts_table", "id"),
+            ("aggregate_comments", "comment_merged", "last_id"),
+            ("aggregate_posts", "post_merged", "last_id"),
+        )
+    ),
+    "top_comments_by_rate": _top_comments("rate", 2),
+    "top_comments_by_date": _top_comments("date", 2),
+    "top_comments_paged": _top_comments("date", 1, "AND last_created_utc <= 960000000 AND rate >= 0.01 AND rate <= 0.9"),
     "top_comments_unlimited": _top_comments("rate", None, "AND last_created_utc >= 880000000"),
     "top_posts_by_rate": _top_posts("rate", 10),
     "top_posts_by_date": _top_posts("date", 10),
-    "top_comments_by_rate_sql": _top_comments("rate", 5),
-    "top_comments_by_date_sql": _top_comments("date", 5, "AND last_created_utc <= 960000000"),
+    "top_comments_by_rate_sql": _top_comments("rate", 2),
+    "top_comments_by_date_sql": _top_comments("date", 1, "AND last_created_utc <= 960000000"),
     "top_posts_by_rate_sql": _top_posts("rate", 10),
     "top_posts_by_date_sql": _top_posts("date", None, "AND rate >= 0.2"),
 }

@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from modtally.functions import (
@@ -25,6 +25,7 @@ from modtally.operators import enrich as E
 from modtally.operators import quality as Q
 from modtally.operators.merge import merge_short_tails
 from modtally.operators.slim import classify, kept_items, quarantined, rejected_files
+from modtally.plans import build
 from modtally.plans import publish as P
 from modtally.plans import rankings as R
 from modtally.session import scratch_path
@@ -105,6 +106,29 @@ def published(spark: SparkSession, d: str) -> str:
     return base
 
 
+@once
+def published_keep_all(spark: SparkSession, d: str) -> str:
+    """Blocks without removed items kept, through merge, enrichment, checks and publication."""
+    out = scratch_path(spark, "keep-all")
+    settings = build.Settings(n_rows=COMMENT_ROWS, min_rows=COMMENT_MIN, dropna=False)
+    io.write_by_month(B.aggregate_blocks(roles.comment_items(spark, d), COMMENT_ROWS, dropna=False), f"{out}/blocks")
+    io.write_by_month(B.aggregate_blocks(roles.post_items(spark, d), COMMENT_ROWS, dropna=False), f"{out}/blocks")
+    build.build_merged(spark, out, settings)
+    parsed = classified(spark, d)
+    both = spark.read.parquet(f"{parsed}/comments").drop("pos").unionByName(spark.read.parquet(f"{parsed}/posts").drop("pos"))
+    # Any one order of the copies will do here.
+    build.build_tables(spark, out, both.withColumn("pos", F.struct("created_utc", "body")), settings=settings)
+    P.publish(spark, f"{out}/tables", 1)
+    return f"{out}/tables"
+
+
+def placed(df: DataFrame, *first: str) -> DataFrame:
+    """Number the rows of a short result in the order it has."""
+    return df.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+        "place", F.row_number().over(Window.orderBy(*first, "_row")).cast("long")
+    ).drop("_row", *first)
+
+
 def live(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return P.read_live(spark, published(spark, d))
 
@@ -163,12 +187,19 @@ _SLIM = ("id", "created_utc", "subreddit", "score", "is_removed")
 
 @query
 def slim_comments(spark, d):
-    return kept_items(classify(roles.comment_lines(spark, d))).select(*_SLIM)
+    return kept_items(spark.read.parquet(f"{classified(spark, d)}/comments")).select(*_SLIM)
 
 
 @query
 def slim_posts(spark, d):
-    return kept_items(classify(roles.post_lines(spark, d))).select("month", *_SLIM)
+    return kept_items(spark.read.parquet(f"{classified(spark, d)}/posts")).select("month", *_SLIM)
+
+
+@query
+def slim_float_numbers(spark, d):
+    """Times and scores written as decimals, and quoted flags, give the same items."""
+    lines = roles.post_lines(spark, d).withColumn("value", F.regexp_replace("value", r'"(created_utc|score)":(-?\d+)', r'"$1":$2.0'))
+    return kept_items(classify(lines)).select("month", *_SLIM)
 
 
 @query
@@ -302,6 +333,16 @@ def dedup_keep_last(spark, d):
     return B.keep_last(roles.comment_items(spark, d)).select(*_SLIM)
 
 
+@query
+def dedup_two_files_of_month(spark, d):
+    """Two dumps of one month: the copy in the later file name counts, whatever its place there."""
+    items = roles.comment_items(spark, d)
+    file = lambda name: F.struct(F.lit("2001-01").alias("period"), F.lit(name).alias("name"), F.col("pos").alias("line"))
+    first = items.withColumn("pos", file("RC_2001-01.zst"))
+    second = items.where("score > 5").withColumns({"score": F.col("score") + 100, "pos": file("RC_v2_2001-01.zst")})
+    return B.keep_last(second.unionByName(first)).select(*_SLIM)
+
+
 @query
 def block_number(spark, d):
     return B.number_blocks(B.keep_last(roles.comment_items(spark, d)), COMMENT_ROWS).select("id", "subreddit", "position", "block")
@@ -395,6 +436,22 @@ def daily_months(spark, d):
     return complete_months(_judged(spark, d))
 
 
+@query
+def daily_months_incomplete(spark, d):
+    """A month whose listed days are not all there waits, however well the others match."""
+    files = with_name_parts(roles.local_files(spark, d))
+    gone = F.col("is_daily") & F.endswith("name", F.lit("-09.zst")) & (F.substring("month", 6, 2).cast("int") % 4 == 0)
+    return complete_months(judge_files(files.where(~gone), roles.manifest(spark, d)))
+
+
+@query
+def files_with_two_skip_lists(spark, d):
+    unusable = Q.skip_list(Q.usable_months(Q.removal_share(roles.post_items(spark, d)), 0.03, 0.09))
+    skip = roles.skip_names(spark, d).unionByName(unusable)
+    files = with_name_parts(roles.local_files(spark, d))
+    return judge_files(files, roles.manifest(spark, d), skip).groupBy("status").agg(F.count("*").alias("files"))
+
+
 @query
 def files_to_read(spark, d):
     return readable_files(_judged(spark, d)).select("name", "type", "month")
@@ -418,7 +475,7 @@ def manifest_upsert(spark, d):
 
 @query
 def manifest_order(spark, d):
-    return order_manifest(roles.manifest(spark, d))
+    return placed(order_manifest(roles.manifest(spark, d)))
 
 
 @query
@@ -477,6 +534,27 @@ def post_ids_to_lookup(spark, d):
     return E.ids_to_lookup(live(spark, d)["aggregate_posts"], "posts", comments=stored_comments(spark, d))
 
 
+@query
+def post_ids_to_lookup_stored(spark, d):
+    """Stored posts are final: their ids are not looked up again."""
+    stored = roles.post_source(spark, d).where("o_orderkey % 4 = 0").select("id", "created_utc", "num_comments", F.col("id").alias("title"), "score")
+    return E.ids_to_lookup(live(spark, d)["aggregate_posts"], "posts", stored, comments=stored_comments(spark, d))
+
+
+@once
+def classified_flawed(spark: SparkSession, d: str) -> str:
+    path = scratch_path(spark, "flawed")
+    classify(roles.post_lines(spark, d, flawed=True)).write.parquet(path)
+    return path
+
+
+@query
+def enrich_posts_flawed(spark, d):
+    """Texts of usable files only, over all posts."""
+    ids = roles.post_source(spark, d).select("id")
+    return E.lookup(ids, E.stored_versions(spark.read.parquet(classified_flawed(spark, d)), "posts"), "posts")
+
+
 @query
 def ids_not_found(spark, d):
     wanted = E.ids_to_lookup(live(spark, d)["aggregate_posts"], "posts", comments=stored_comments(spark, d))
@@ -536,7 +614,7 @@ def enriched_csv_roundtrip(spark, d):
 def id_list_roundtrip(spark, d):
     path = scratch_path(spark, "ids")
     io.write_ids(inaccessible_ids(spark, d).unionByName(inaccessible_ids(spark, d)), path)
-    return io.read_ids(spark, path)
+    return placed(io.read_ids(spark, path).withColumn("_file", F.col("_metadata.file_name")), "_file")
 
 
 # --- publication and rankings --------------------------------------------------------
@@ -552,6 +630,21 @@ def published_post_blocks(spark, d):
     return live(spark, d)["aggregate_posts"]
 
 
+@query
+def published_blocks_keep_all(spark, d):
+    return P.read_live(spark, published_keep_all(spark, d))["aggregate_comments"]
+
+
+@query
+def blocks_csv_roundtrip(spark, d):
+    """Exported blocks, and whether each follows the row before it in name and time."""
+    path = scratch_path(spark, "blocks-csv")
+    io.write_blocks_csv(live(spark, d)["aggregate_posts"], path)
+    rows = placed(io.read_blocks_csv(spark, path).drop("month").withColumn("_file", F.col("_metadata.file_name")), "_file")
+    key = F.struct("subreddit", "last_created_utc")
+    return rows.withColumn("in_order", F.coalesce(F.lag(key).over(Window.orderBy("place")) <= key, F.lit(True))).drop("place")
+
+
 @query
 def unique_key_report(spark, d):
     return C.duplicate_keys(roles.comment_items(spark, d), "id")
@@ -564,61 +657,60 @@ def constraint_report(spark, d):
     unclean = source.join(text, "l_partkey", "left").select(
         "id", F.col("text").alias("body"), F.when(F.col("kind") == "item", F.col("created_utc")).alias("created_utc"), "link_id", "score"
     )
-    return C.constraint_report({"comments": unclean})
+    return C.constraint_report({**live(spark, d), "comments": unclean})
 
 
 @query
 def top_comments_by_rate(spark, d):
     t = live(spark, d)
-    return R.top_comments(t["aggregate_comments"], t["comments"], t["posts"], COMMUNITY, 5, by="rate")
+    return placed(R.top_comments(t["aggregate_comments"], t["comments"], t["posts"], COMMUNITY, 2, by="rate"))
 
 
 @query
 def top_comments_by_date(spark, d):
     t = live(spark, d)
-    return R.top_comments(t["aggregate_comments"], t["comments"], t["posts"], COMMUNITY, 5, by="date")
+    return placed(R.top_comments(t["aggregate_comments"], t["comments"], t["posts"], COMMUNITY, 2, by="date"))
 
 
 @query
 def top_comments_paged(spark, d):
     t = live(spark, d)
-    return R.top_comments(
-        t["aggregate_comments"], t["comments"], t["posts"], COMMUNITY, 4, by="date", created_before=960000000, rate_more=0.01, rate_less=0.9
-    )
+    bounds = {"created_before": 960000000, "rate_more": 0.01, "rate_less": 0.9}
+    return placed(R.top_comments(t["aggregate_comments"], t["comments"], t["posts"], COMMUNITY, 1, by="date", **bounds))
 
 
 @query
 def top_comments_unlimited(spark, d):
     t = live(spark, d)
-    return R.top_comments(t["aggregate_comments"], t["comments"], t["posts"], COMMUNITY, None, by="rate", created_after=880000000)
+    return placed(R.top_comments(t["aggregate_comments"], t["comments"], t["posts"], COMMUNITY, None, by="rate", created_after=880000000))
 
 
 @query
 def top_posts_by_rate(spark, d):
     t = live(spark, d)
-    return R.top_posts(t["aggregate_posts"], t["posts"], PRIORITY, 10, by="rate")
+    return placed(R.top_posts(t["aggregate_posts"], t["posts"], PRIORITY, 10, by="rate"))
 
 
 @query
 def top_posts_by_date(spark, d):
     t = live(spark, d)
-    return R.top_posts(t["aggregate_posts"], t["posts"], PRIORITY, 10, by="date")
+    return placed(R.top_posts(t["aggregate_posts"], t["posts"], PRIORITY, 10, by="date"))
 
 
 def _sql(spark: SparkSession, d: str, call: str) -> DataFrame:
     P.create_views(spark, published(spark, d))
     R.create_sql_functions(spark)
-    return spark.sql(f"SELECT * FROM {call}")
+    return placed(spark.sql(f"SELECT * FROM {call}"))
 
 
 @query
 def top_comments_by_rate_sql(spark, d):
-    return _sql(spark, d, f"getCommentUpvoteRemovedRatesByRate('{COMMUNITY}', 5)")
+    return _sql(spark, d, f"getCommentUpvoteRemovedRatesByRate('{COMMUNITY}', 2)")
 
 
 @query
 def top_comments_by_date_sql(spark, d):
-    return _sql(spark, d, f"getCommentUpvoteRemovedRatesByDate('{COMMUNITY}', 5, created_before => 960000000)")
+    return _sql(spark, d, f"getCommentUpvoteRemovedRatesByDate('{COMMUNITY}', 1, created_before => 960000000)")
 
 
 @query

@@ -1,11 +1,10 @@
 from .base36 import add_fullname_prefix, id_to_int, int_to_id, normalise_link_id, strip_fullname_prefix
 from .names import period_series, with_name_parts
-from .text import clean_text, decode_line, is_placeholder, strip_backslashes, unescape_html
+from .text import clean_text, is_placeholder, strip_backslashes, unescape_html
 
 __all__ = [
     "add_fullname_prefix",
     "clean_text",
-    "decode_line",
     "id_to_int",
     "int_to_id",
     "is_placeholder",

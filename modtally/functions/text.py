@@ -42,8 +42,3 @@ def strip_backslashes(text: Column) -> Column:
 def is_placeholder(text: Column, placeholder: str) -> Column:
     """True for the placeholder in plain or markdown-escaped spelling."""
     return strip_backslashes(text) == placeholder
-
-
-def decode_line(raw: Column) -> Column:
-    """UTF-8 text of a raw line; a line that is not valid UTF-8 is read as ISO-8859-1."""
-    return F.when(F.is_valid_utf8(raw), raw).otherwise(F.decode(raw.cast("binary"), "ISO-8859-1"))

@@ -10,6 +10,7 @@ from ..functions.text import REMOVED, is_placeholder
 from ..schemas import EXTRA_FIELDS
 from ..session import materialise
 from .narrow import rows_with_ids
+from .slim import rejected_files
 
 # Bodies stored before this time were fetched while they were still
 # available; a stored row without a time counts as newer than any.
@@ -59,6 +60,9 @@ def ids_to_lookup(
 def stored_versions(classified: DataFrame, item_type: str) -> DataFrame:
     """Enrichment fields of classified lines, as stored in the dump, with their position."""
     usable = classified.where((F.col("type") == item_type) & (F.col("outcome") == "keep"))
+    if item_type == "posts":
+        # A rejected file contributes no text either; at most one name per file.
+        usable = usable.join(F.broadcast(rejected_files(classified)), "file", "left_anti")
     return usable.select("id", *EXTRA_FIELDS[item_type], "pos")
 
 
@@ -91,10 +95,11 @@ def resolve_versions(versions: DataFrame) -> DataFrame:
 
 
 def lookup(ids: DataFrame, versions: DataFrame, item_type: str) -> DataFrame:
-    """Fields of the wanted ids. The dump is reduced to those ids before any text is
-    cleaned or shuffled."""
-    wanted = rows_with_ids(versions, ids)
-    return resolve_versions(normalise_fields(wanted, item_type))
+    """Fields of the wanted ids. The dump is reduced to likely ids before any text is
+    cleaned or shuffled; each id's copies are resolved where they are read, so a hot id
+    sends one text per task to the exact join."""
+    likely = rows_with_ids(versions, ids, exact=False)
+    return resolve_versions(normalise_fields(likely, item_type)).join(ids.select("id"), "id", "left_semi")
 
 
 def ids_not_found(ids: DataFrame, found: DataFrame) -> DataFrame:

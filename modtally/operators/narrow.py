@@ -5,31 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many ids (short texts) the set itself is broadcast.
-BROADCAST_IDS = 1_000_000
-
-# Beyond it a hashed bit set goes first: at most 2^24 words of 64 bits, about 400 MB in
-# memory however many ids there are.
-FILTER_BITS = 1 << 30
+# The hashed bit set: at most 2^20 words of 64 bits, whatever the number of ids. A broadcast
+# of two long columns takes about 40 bytes a row, so 42 MB at most.
+FILTER_BITS = 1 << 26
 
 
 def rows_with_ids(
     rows: DataFrame,
     ids: DataFrame,
     key: str = "id",
-    broadcast_ids: int = BROADCAST_IDS,
     filter_bits: int = FILTER_BITS,
+    exact: bool = True,
 ) -> DataFrame:
-    """Rows whose key is among ``ids``, exactly.
+    """Rows whose key is among ``ids``.
 
-    The ids are counted. Few are broadcast. Many first become a bit set of bounded size:
-    it lets through every wanted row and a small share of others, so that only those are
-    shuffled for the exact join. ``ids`` is read more than once; pass a written table.
+    The ids become a bit set of bounded size: it lets through every wanted row and a share
+    of others, small while the ids are few against the bits, so that only those are shuffled
+    for the exact join. Beyond that the filter saturates and the join alone decides.
+    ``exact=False`` leaves the join to the caller. ``ids`` is read twice; pass a written table.
     """
     ids = ids.select(key)
-    if ids.count() <= broadcast_ids:
-        return rows.join(F.broadcast(ids), key, "left_semi")
-
 
     def hashed(df: DataFrame) -> DataFrame:
         slot = F.pmod(F.xxhash64(key), F.lit(filter_bits))
@@ -38,4 +33,4 @@ def rows_with_ids(
     words = hashed(ids).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
     likely = hashed(rows).join(F.broadcast(words), "_word").where(F.getbit("_bits", F.col("_bit")) == 1)
     likely = likely.select(*rows.columns)
-    return likely.join(ids, key, "left_semi")
+    return likely.join(ids, key, "left_semi") if exact else likely

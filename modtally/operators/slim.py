@@ -29,8 +29,25 @@ def _present(key: str) -> Column:
 
 
 def _truthy(key: str) -> Column:
-    """Truth of a JSON scalar that was read as text."""
-    return F.coalesce(~_value(key).isin("", "false", "0", "0.0", "[]", "{}"), F.lit(False))
+    """Truth of a JSON value that was read as text. A quoted text is true unless it is empty."""
+    quoted = F.col("value").rlike(f'"{key}"\\s*:\\s*"')
+    return F.coalesce(F.when(_value(key).isin("false", "0", "0.0", "[]", "{}"), quoted).otherwise(_value(key) != ""), F.lit(False))
+
+
+def _whole(key: str) -> Column:
+    """A whole number, however the dump writes it: ``5``, ``"5"``, ``5.0`` or ``5e0``."""
+    number = _value(key).try_cast("decimal(38,9)")
+    return F.coalesce(_value(key).try_cast("long"), F.when(number == F.floor(number), number.try_cast("long")))
+
+
+# Largest id in base 36; ids are compared by their value, so leading zeros do not count.
+_MOST_ID = "1y2p0ij32e8e7"
+
+
+def _is_id(text: Column) -> Column:
+    plain = F.lower(F.ltrim(text, F.lit("0")))
+    fits = (F.length(plain) < len(_MOST_ID)) | ((F.length(plain) == len(_MOST_ID)) & (plain <= _MOST_ID))
+    return F.coalesce(text.rlike("^[0-9A-Za-z]+$") & fits, F.lit(False))
 
 
 def classify(lines: DataFrame) -> DataFrame:
@@ -50,8 +67,8 @@ def classify(lines: DataFrame) -> DataFrame:
         {
             "_body_removed": is_placeholder(_value("body"), REMOVED),
             "_author_deleted": is_placeholder(_value("author"), DELETED),
-            "_created": _value("created_utc").try_cast("long"),
-            "_score": _value("score").try_cast("long"),
+            "_created": _whole("created_utc"),
+            "_score": _whole("score"),
         }
     )
     comment = F.col("type") == "comments"
@@ -69,7 +86,7 @@ def classify(lines: DataFrame) -> DataFrame:
     ) | _truthy("promoted")
     created, score = F.col("_created"), F.col("_score")
     bad_value = (
-        ~F.coalesce(_value("id").rlike("^[0-9A-Za-z]{1,12}$"), F.lit(False))
+        ~_is_id(_value("id"))
         | _value("subreddit").isNull()
         | created.isNull()
         | (_value("score").isNotNull() & score.isNull())

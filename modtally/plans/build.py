@@ -17,33 +17,63 @@ from ..operators.enrich import enrich, extend_inaccessible, stored_versions
 from ..operators.merge import merge_short_tails
 from ..operators.ordering import MAX_GROUP_ROWS
 from ..operators.slim import classify, kept_items, quarantined, rejected_files
-from ..schemas import CLASSIFIED, ID_LIST, ITEM_TYPES
+from ..schemas import CLASSIFIED, DONE, ID_LIST, ITEM_TYPES
 from ..sources import tables as io
 from ..sources.dumps import decode_lines, judge_files, list_files, read_dumps, readable_files
-from ..streaming.incremental import file_times, is_stale, pending_months, table_exists
+from ..streaming.incremental import pending_months, table_exists
 from . import publish as publication
 
 
 @dataclass(frozen=True)
 class Settings:
+    """``max_lines`` reads only so many lines of each file; such months are read again once the cap is lifted."""
+
     n_rows: int = 1000
     min_rows: int = 500
     dropna: bool = True
     max_lines: int = 0
+    whole_file: bool = False
     force: bool = False
     strict: bool = False
     update_inaccessible: bool = False
     max_group_rows: int = MAX_GROUP_ROWS
 
+    @property
+    def reading(self) -> str:
+        return f"lines={self.max_lines} whole_file={self.whole_file}"
+
+    @property
+    def blocking(self) -> str:
+        return f"rows={self.n_rows} dropna={self.dropna}"
+
+    @property
+    def merging(self) -> str:
+        return f"{self.blocking} min={self.min_rows}"
+
 
+# For a sample run into a folder of its own.
 TEST_SETTINGS = Settings(n_rows=100, min_rows=50, max_lines=100_000, force=True)
 
 
-def _months(spark: SparkSession, path: str) -> DataFrame | None:
-    """Months a stage has written, taken from its partition folders."""
-    if not table_exists(spark, path):
-        return None
-    return io.read_slim(spark, path).select("type", "month").distinct()
+def read_done(spark: SparkSession, out: str, stage: str) -> DataFrame:
+    """Newest entries of a stage in the log of finished work: a row per file, or per month.
+
+    A month's entries of one run replace those of earlier runs. The log holds a few short
+    rows per dump, so it is small however large the data are.
+    """
+    path = f"{out}/done"
+    log = spark.read.schema(DONE).parquet(path) if table_exists(spark, path) else spark.createDataFrame([], DONE)
+    log = log.where(F.col("stage") == stage)
+    newest = log.groupBy("type", "month").agg(F.max("run").alias("run"))
+    return log.join(newest, ["type", "month", "run"], "left_semi").drop("stage")
+
+
+def log_done(spark: SparkSession, out: str, stage: str, rows: list[tuple]) -> None:
+    """Add rows ``type, month, name, size, detail`` under the next run number."""
+    path = f"{out}/done"
+    last = spark.read.schema(DONE).parquet(path).agg(F.max("run")).first()[0] if table_exists(spark, path) else None
+    run = (last or 0) + 1
+    spark.createDataFrame([(stage, *r, run) for r in rows], DONE).coalesce(1).write.mode("append").parquet(path)
 
 
 def ingest(
@@ -54,33 +84,37 @@ def ingest(
     skip: DataFrame | None = None,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Stage 1. Returns the judged file list; writes ``slim``, ``classified`` and the file log."""
+    """Stage 1. Returns the judged file list; writes ``slim``, ``classified`` and the file log.
+
+    A month is read when one of its readable files is new, has another size, or was last
+    read with other settings; then all its readable files are read and its rows replaced.
+    """
     judged = judge_files(list_files(spark, raw), manifest, skip)
     log = f"{out}/unusable_files"
     if table_exists(spark, log):
         judged = judged.join(io.read_names(spark, log).select(F.col("basename").alias("base")), "base", "left_anti")
-    pending = pending_months(judged, _months(spark, f"{out}/slim"), settings.force)
-    todo = readable_files(judged).join(pending, ["type", "month"], "left_semi")
+    readable = readable_files(judged)
+    done = read_done(spark, out, "slim")
+    if not settings.force:
+        same = done.where(F.col("detail") == settings.reading).select("type", "month", "name", "size")
+        readable = readable.join(pending_months(readable.join(same, ["type", "month", "name", "size"], "left_anti"), None), ["type", "month"], "left_semi")
     # A scan needs its paths; the list has one entry per dump.
-    paths = [r.path for r in todo.select("path").collect()]
-    if not paths:
+    todo = readable.select("type", "month", "path", "name", "size").collect()
+    if not todo:
         return judged
+    pairs = sorted({(r.type, r.month) for r in todo})
 
-    lines = decode_lines(read_dumps(spark, paths, settings.max_lines))
-    io.write_by_month(classify(lines), f"{out}/classified")
-    classified = read_classified(spark, out, _pairs(todo))
-    io.write_by_month(kept_items(classified, settings.strict), f"{out}/slim")
-    io.write_by_month(quarantined(classified), f"{out}/quarantine", rebalance=True)
+    lines = decode_lines(read_dumps(spark, [r.path for r in todo], settings.max_lines), settings.whole_file)
+    io.write_by_month(classify(lines), f"{out}/classified", pairs=pairs)
+    classified = read_classified(spark, out, pairs)
+    io.write_by_month(kept_items(classified, settings.strict), f"{out}/slim", pairs=pairs)
+    io.write_by_month(quarantined(classified), f"{out}/quarantine", rebalance=True, pairs=pairs)
     names = rejected_files(classified).select(F.regexp_extract("file", r"([^/]*)\.[^.]*$", 1).alias("basename"))
     io.append_names(names, log, io.read_names(spark, log) if table_exists(spark, log) else None)
+    log_done(spark, out, "slim", [(r.type, r.month, r.name, r.size, settings.reading) for r in todo])
     return judged
 
 
-def _pairs(months: DataFrame) -> list[tuple[str, str]]:
-    """(type, month) pairs on the driver: at most one per dump file."""
-    return [(r.type, r.month) for r in months.select("type", "month").distinct().collect()]
-
-
 def _only(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Literal months reach the scan as partition filters."""
     wanted = F.lit(False)
@@ -99,30 +133,44 @@ def read_classified(spark: SparkSession, out: str, pairs: list[tuple[str, str]]
 
 
 def build_blocks(spark: SparkSession, out: str, settings: Settings = Settings()) -> None:
-    """Stage 2: blocks of the months that have none yet."""
-    slim = io.read_slim(spark, f"{out}/slim")
-    pending = pending_months(slim, _months(spark, f"{out}/blocks"), settings.force)
-    pairs = _pairs(pending)
+    """Stage 2: blocks of the months that were read after their blocks were made."""
+    of_run = F.concat(F.lit(f"{settings.blocking} of="), "run").alias("detail")
+    months = read_done(spark, out, "slim").select("type", "month", of_run).distinct()
+    if not settings.force:
+        months = months.join(read_done(spark, out, "blocks"), ["type", "month", "detail"], "left_anti")
+    # At most one entry per dump.
+    todo = months.collect()
+    pairs = sorted((r.type, r.month) for r in todo)
     if not pairs:
         return
-    blocks = aggregate_blocks(_only(slim, pairs), settings.n_rows, settings.dropna, settings.max_group_rows)
-    io.write_by_month(blocks, f"{out}/blocks", rebalance=True)
+    slim = _only(io.read_slim(spark, f"{out}/slim"), pairs)
+    blocks = aggregate_blocks(slim, settings.n_rows, settings.dropna, settings.max_group_rows)
+    io.write_by_month(blocks, f"{out}/blocks", rebalance=True, pairs=pairs)
+    log_done(spark, out, "blocks", [(r.type, r.month, None, None, r.detail) for r in todo])
 
 
 def build_merged(spark: SparkSession, out: str, settings: Settings = Settings()) -> DataFrame:
-    """Stage 3: one block table per type over all months, unless it is newer than they are."""
+    """Stage 3: one block table per type over all months, unless it holds the newest blocks already."""
     path = f"{out}/merged"
-    if not settings.force and table_exists(spark, path):
-        stale = is_stale(file_times(spark, f"{out}/blocks"), file_times(spark, path))
-        if not stale.first().stale:
-            return spark.read.parquet(path)
+    newest = read_done(spark, out, "blocks").agg(F.max("run")).first()[0] or 0
+    detail = f"{settings.merging} of={newest}"
+    made = read_done(spark, out, "merged").where(F.col("detail") == detail)
+    if not settings.force and not made.isEmpty():
+        return spark.read.parquet(path)
     blocks = io.read_blocks(spark, f"{out}/blocks")
     merge_short_tails(blocks, settings.min_rows, settings.n_rows, settings.max_group_rows).write.mode(
         "overwrite"
     ).partitionBy("type").parquet(path)
+    log_done(spark, out, "merged", [("all", "all", None, None, detail)])
     return spark.read.parquet(path)
 
 
+def stored_inaccessible(spark: SparkSession, out: str, version: int | None) -> dict[str, DataFrame]:
+    """The lists of ids without text that earlier builds stored."""
+    paths = {t: f"{out}/inaccessible/version={version}/{t}" for t in ITEM_TYPES}
+    return {t: io.read_ids(spark, p) for t, p in paths.items() if version is not None and table_exists(spark, p)}
+
+
 def build_tables(
     spark: SparkSession,
     out: str,
@@ -141,7 +189,9 @@ def build_tables(
     tables: dict[str, DataFrame] = {}
     for item_type in ITEM_TYPES:
         blocks = merged.where(F.col("type") == item_type).drop("type")
-        check_unique(blocks, "id_of_max_pos_removed_item", f"{item_type} blocks")
+        # Blocks without a removed item have no top id.
+        named = blocks.where("id_of_max_pos_removed_item <> ''")
+        check_unique(named, "id_of_max_pos_removed_item", f"{item_type} blocks")
         known = inaccessible.get(item_type, spark.createDataFrame([], ID_LIST))
         rows, missing = enrich(
             blocks,
@@ -155,8 +205,9 @@ def build_tables(
         rows.write.mode("overwrite").parquet(path)
         tables[item_type] = spark.read.parquet(path)
         tables[f"aggregate_{item_type}"] = blocks
-        if settings.update_inaccessible:
-            io.write_ids(extend_inaccessible(known, missing), f"{out}/inaccessible/version={version}/{item_type}")
+        # The list is kept for the next build, which does not look these ids up again.
+        listed = extend_inaccessible(known, missing) if settings.update_inaccessible else known
+        io.write_ids(listed, f"{out}/inaccessible/version={version}/{item_type}")
     publication.stage(tables, f"{out}/tables", version)
     return publication.read_version(spark, f"{out}/tables", version)
 
@@ -178,6 +229,7 @@ def build(
     previous = publication.live_version(spark, base)
     live = None if previous is None else publication.read_version(spark, base, previous)
     version = 1 if previous is None else previous + 1
+    inaccessible = {**stored_inaccessible(spark, out, previous), **(inaccessible or {})}
     build_tables(spark, out, read_classified(spark, out), live, inaccessible, settings, version)
     publication.publish(spark, base, version)
     return publication.read_live(spark, base)

@@ -41,6 +41,7 @@ SLIM = T.StructType(
 POSITION = T.StructType(
     [
         T.StructField("period", T.StringType()),
+        T.StructField("name", T.StringType()),
         T.StructField("start", T.LongType()),
         T.StructField("line", T.LongType()),
     ]
@@ -109,6 +110,18 @@ EXTRA_FIELDS = {
 }
 
 ID_LIST = T.StructType([T.StructField("id", T.StringType())])
-MANIFEST = T.StructType([T.StructField("name", T.StringType()), T.StructField("size", T.LongType())])
+
+# What the job has done: the files of a month, read with the settings in ``detail``, and
+# later stages of it. ``run`` orders the entries of one month.
+DONE = T.StructType(
+    [
+        T.StructField("stage", T.StringType()),
+        *_MONTH,
+        T.StructField("name", T.StringType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("detail", T.StringType()),
+        T.StructField("run", T.LongType()),
+    ]
+)
 
 BLOCK_COLUMNS = BLOCKS.fieldNames()

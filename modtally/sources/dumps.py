@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import with_name_parts
@@ -39,9 +40,16 @@ def judge_files(files: DataFrame, manifest: DataFrame | None = None, skip: DataF
     ``size_mismatch``  neither the listed size nor the sum of its listed parts
     ``unsupported``    no dump extension
 
-    A file that the manifest does not list is ready.
+    A file that the manifest does not list is ready. ``month_days`` counts the days that the
+    manifest lists for the file's month.
     """
     judged = files
+    if manifest is None:
+        judged = judged.withColumn("month_days", F.lit(None).cast("long"))
+    else:
+        days = with_name_parts(manifest.select("name").distinct()).where(F.col("is_daily") & F.col("ext").isin(*EXTENSIONS))
+        days = days.groupBy("type", "month").agg(F.count_distinct("base").alias("month_days"))
+        judged = judged.join(days, ["type", "month"], "left").select(*files.columns, "month_days")
     if skip is None:
         judged = judged.withColumn("_skip", F.lit(False))
     else:
@@ -71,11 +79,13 @@ def judge_files(files: DataFrame, manifest: DataFrame | None = None, skip: DataF
 def complete_months(judged: DataFrame) -> DataFrame:
     """Months that exist only as daily files: ``type, month, num_days, complete``.
 
-    A month is complete when the manifest confirms the size of every daily file.
+    A month is complete when every day that the manifest lists is there and the manifest
+    confirms the size of every daily file. Until then it waits for its other days.
     """
     confirmed = F.coalesce(F.col("listed_size") == F.col("size"), F.lit(False))
     daily = judged.where("status = 'daily'").groupBy("type", "month").agg(
-        F.count("*").alias("num_days"), F.bool_and(confirmed).alias("complete")
+        F.count("*").alias("num_days"),
+        (F.bool_and(confirmed) & (F.count_distinct("base") == F.coalesce(F.max("month_days"), F.lit(0)))).alias("complete"),
     )
     monthly = judged.where("status <> 'daily' AND status <> 'unsupported'").select("type", "month").distinct()
     return daily.join(monthly, ["type", "month"], "left_anti")
@@ -96,17 +106,25 @@ def read_dumps(
 ) -> DataFrame:
     """Lines of compressed dumps: ``value, file, type, month, pos``; blank lines left out.
 
-    ``pos`` orders lines within a month as they lie in its files. It is taken before
-    any shuffle. ``max_lines`` reads only the first lines of each file (0 = all).
-    ``spread`` redistributes lines of unsplittable files over that many partitions:
-    one more shuffle, worthwhile only with fewer files than cores.
+    ``paths`` may hold patterns and folders; a path that matches no file is an error.
+    ``pos`` orders lines within a month: by period, then file name, then place in the file.
+    It is taken before any shuffle. ``max_lines`` reads only the first lines of each file
+    (0 = all). ``spread`` deals the lines of files that cannot be split over that many
+    partitions, so that parsing and writing use all cores; by default over the cores that
+    such files leave idle, and 0 leaves the lines where they are.
     """
     by_ext = lambda p: p[p.rfind(".") :].lower()
-    bad = [p for p in paths if by_ext(p) not in EXTENSIONS]
+    named = [p for p in paths if re.search(r"\.[A-Za-z]\w{1,4}$", p)]
+    files = find_files(spark, paths) if all(by_ext(p) in EXTENSIONS for p in named) else []
+    bad = [p for p in (*named, *(f.path for f in files)) if by_ext(p) not in EXTENSIONS]
     if bad:
         raise ValueError(f"not dumps: {bad}")
-    native = [p for p in paths if by_ext(p) in JVM_EXTENSIONS and p.endswith(by_ext(p)) and not max_lines]
-    custom = [p for p in paths if p not in set(native)]
+    # Hadoop knows its codecs by lowercase extensions.
+    native = [f.path for f in files if by_ext(f.path) in JVM_EXTENSIONS and f.path.endswith(by_ext(f.path))]
+    custom = [f.path for f in files if f.path not in set(native)]
+    cores = spark.sparkContext.defaultParallelism
+    if spread is None:
+        spread = cores if sum(not p.endswith(".bz2") for p in (f.path for f in files)) in range(1, cores) else 0
     parts = []
     if native:
         text = spark.read.option("lineSep", "\n").text(native)
@@ -119,6 +137,9 @@ def read_dumps(
                 F.monotonically_increasing_id().alias("_line"),
             ).where(F.col("value").rlike(r"\S"))
         )
+        if max_lines:
+            # Decoded by the JVM all the same; the cut follows from counts of lines.
+            parts = [cap_lines(parts[0], max_lines, F.col("_start"), F.col("_line"))]
     if custom:
         spark.dataSource.register(DumpLines)
         lines = (
@@ -131,39 +152,51 @@ def read_dumps(
             lines.select(
                 F.col("value").cast("string").alias("value"),
                 F.col("path").alias("file"),
-                F.substring_index("path", "/", -1).alias("_name"),
+                F.col("name").alias("_name"),
                 F.lit(0).cast("long").alias("_start"),
                 F.col("line").alias("_line"),
             )
         )
     if not parts:
-        return spark.createDataFrame([], "value string, file string, type string, month string, pos struct<period:string,start:bigint,line:bigint>")
+        return spark.createDataFrame([], "value string, file string, type string, month string, pos struct<period:string,name:string,start:bigint,line:bigint>")
     lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    # Name parts are worked out once per file, not per line; one row per given path.
-    names = spark.createDataFrame([(p.rsplit("/", 1)[1],) for p in paths], "_name string").distinct()
+    # Name parts are worked out once per file, not per line; one row per file.
+    names = spark.createDataFrame([(f.name,) for f in files], "_name string").distinct()
     parsed = with_name_parts(names, "_name").select("_name", "type", "month", "period")
-    placed = lines.join(F.broadcast(parsed), "_name").select(
+    unknown = F.raise_error(F.concat(F.lit("no name parts for "), "file"))
+    placed = lines.join(F.broadcast(parsed), "_name", "left").select(
         "value",
         "file",
-        "type",
+        F.when(F.col("type").isNull(), unknown).otherwise(F.col("type")).alias("type"),
         "month",
-        F.struct(F.col("period"), F.col("_start").alias("start"), F.col("_line").alias("line")).alias("pos"),
+        F.struct(F.col("period"), F.col("_name").alias("name"), F.col("_start").alias("start"), F.col("_line").alias("line")).alias("pos"),
     )
-    return placed if spread is None else placed.repartition(spread)
+    return placed.repartition(spread) if spread else placed
+
 
+def find_files(spark: SparkSession, paths: Sequence[str]) -> list[Row]:
+    """``path, name`` of every file behind paths, folders and patterns; one entry per dump. File contents are not read."""
+    if not paths:
+        return []
+    listed = spark.read.format("binaryFile").load(list(paths)).select("path", F.col("_metadata.file_name").alias("name"))
+    return sorted(set(listed.collect()))
 
-def cap_lines(lines: DataFrame, max_lines: int) -> DataFrame:
+
+def cap_lines(lines: DataFrame, max_lines: int, start: Column | None = None, line: Column | None = None) -> DataFrame:
     """The first ``max_lines`` lines of each file of an already scanned table (0 = all).
 
+    A line's place is ``start`` (of its part of the file) and ``line``, by default those of ``pos``.
+
     Lines are counted in chunks of a fixed number of positions; a running sum over the
     chunk counts tells which chunks are needed, and only lines inside one chunk are ranked.
     So no task ever sorts a whole file.
     """
     if not max_lines:
         return lines
-    placed = lines.withColumns({"_start": F.col("pos.start"), "_chunk": F.expr(f"pos.line div {CHUNK_LINES}")})
-    chunk = ["file", "_start", "_chunk"]
-    in_file = Window.partitionBy("file").orderBy("_start", "_chunk")
+    start, line = F.col("pos.start") if start is None else start, F.col("pos.line") if line is None else line
+    placed = lines.withColumns({"_at": start, "_in": line}).withColumn("_chunk", F.expr(f"_in div {CHUNK_LINES}"))
+    chunk = ["file", "_at", "_chunk"]
+    in_file = Window.partitionBy("file").orderBy("_at", "_chunk")
     needed = (
         placed.groupBy(*chunk)
         .count()
@@ -171,7 +204,7 @@ def cap_lines(lines: DataFrame, max_lines: int) -> DataFrame:
         .where(F.col("_before") < max_lines)
         .drop("count")
     )
-    rank = F.row_number().over(Window.partitionBy(*chunk).orderBy("pos"))
+    rank = F.row_number().over(Window.partitionBy(*chunk).orderBy("_in"))
     return (
         placed.join(needed, chunk)
         .withColumn("_rank", F.col("_before") + rank)

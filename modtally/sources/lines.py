@@ -14,7 +14,9 @@ import re
 from collections.abc import Iterator
 from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 # Fixed value: the largest zstd window a dump may use.
@@ -22,6 +24,8 @@ ZSTD_MAX_WINDOW = 2**31
 
 _CHUNK = 1 << 23
 _BATCH_LINES = 20_000
+# Longer lines are taken as they are; a longer blank line is quarantined as malformed.
+_BLANK_LENGTH = 64
 
 
 class FilePartition(InputPartition):
@@ -43,12 +47,10 @@ def _open(path: str):
 
 def _decompressed(path: str, raw):
     extension = path[path.rfind(".") :].lower()
-    if extension == ".xz":
-        return lzma.open(raw)
-    if extension == ".bz2":
-        return bz2.open(raw)
-    if extension == ".gz":
-        return gzip.open(raw)
+    # Hadoop finds its codecs by lowercase extensions only; .GZ and .BZ2 come here.
+    openers = {".xz": lzma.open, ".gz": gzip.open, ".bz2": bz2.open}
+    if extension in openers:
+        return openers[extension](raw)
     if extension == ".zst":
         import zstandard
 
@@ -57,13 +59,29 @@ def _decompressed(path: str, raw):
     raise ValueError(f"not a dump: {path}")
 
 
-def _lines(stream) -> Iterator[bytes]:
+def _batches(stream) -> Iterator[pa.Array]:
+    """Lines of a stream, a few megabytes at a time; Arrow cuts them."""
     rest = b""
     while chunk := stream.read(_CHUNK):
-        *whole, rest = (rest + chunk).split(b"\n")
-        yield from whole
+        block = rest + chunk
+        end = block.rfind(b"\n")
+        if end < 0:
+            rest = block
+            continue
+        rest = block[end + 1 :]
+        yield pc.split_pattern(pa.array([block[:end]], pa.large_binary()), b"\n").flatten()
     if rest:
-        yield rest
+        yield pa.array([rest], pa.large_binary())
+
+
+def _not_blank(lines: pa.Array) -> np.ndarray:
+    """Which lines hold more than white space."""
+    lengths = np.diff(np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1])
+    full = lengths > 0
+    # Lines of a dump are objects; only very short ones can be blank.
+    for i in np.flatnonzero(full & (lengths < _BLANK_LENGTH)):
+        full[i] = bool(lines[int(i)].as_py().strip())
+    return full
 
 
 class DumpLinesReader(DataSourceReader):
@@ -75,35 +93,29 @@ class DumpLinesReader(DataSourceReader):
         return [FilePartition(p) for p in self.paths]
 
     def read(self, partition: FilePartition) -> Iterator[pa.RecordBatch]:
-        names = ["value", "path", "line"]
-
-        def batch(values: list[bytes], numbers: list[int]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(values, pa.binary()),
-                    pa.array([partition.path] * len(values), pa.string()),
-                    pa.array(numbers, pa.int64()),
-                ],
-                names=names,
-            )
-
-        values: list[bytes] = []
-        numbers: list[int] = []
-        kept = 0
+        name = partition.path.rsplit("/", 1)[-1]
+        seen = kept = 0
         with _open(partition.path) as raw, _decompressed(partition.path, raw) as stream:
-            for number, line in enumerate(_lines(stream)):
-                if not line.strip():
-                    continue
-                values.append(line)
-                numbers.append(number)
-                kept += 1
-                if len(values) == _BATCH_LINES:
-                    yield batch(values, numbers)
-                    values, numbers = [], []
+            for lines in _batches(stream):
+                full = _not_blank(lines)
+                numbers = pa.array(np.arange(seen, seen + len(lines)), pa.int64())
+                seen += len(lines)
+                if self.max_lines:
+                    first = np.flatnonzero(full)[: self.max_lines - kept]
+                    full = np.zeros(len(lines), bool)
+                    full[first] = True
+                kept += int(full.sum())
+                mask = pa.array(full)
+                values, numbers = lines.filter(mask), numbers.filter(mask)
+                for low in range(0, len(values), _BATCH_LINES):
+                    part = values.slice(low, _BATCH_LINES).cast(pa.binary())
+                    own = [partition.path] * len(part)
+                    yield pa.RecordBatch.from_arrays(
+                        [part, pa.array(own, pa.string()), pa.array([name] * len(part), pa.string()), numbers.slice(low, _BATCH_LINES)],
+                        ["value", "path", "name", "line"],
+                    )
                 if self.max_lines and kept >= self.max_lines:
                     break
-        if values:
-            yield batch(values, numbers)
 
 
 class DumpLines(DataSource):
@@ -114,7 +126,7 @@ class DumpLines(DataSource):
         return "dump_lines"
 
     def schema(self) -> str:
-        return "value binary, path string, line bigint"
+        return "value binary, path string, name string, line bigint"
 
     def reader(self, schema) -> DumpLinesReader:
         return DumpLinesReader(json.loads(self.options["paths"]), int(self.options.get("max_lines", "0")))

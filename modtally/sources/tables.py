@@ -13,12 +13,25 @@ from ..schemas import BLOCK_COLUMNS, BLOCKS, BLOCKS_BY_MONTH, ENRICHED, ID_LIST,
 _CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def write_by_month(df: DataFrame, path: str, rebalance: bool = False) -> None:
+def drop_months(spark: SparkSession, path: str, pairs: list[tuple[str, str]]) -> None:
+    """Delete the folders of the given (type, month) pairs, on whatever store the table lies."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for item_type, month in pairs:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/type={item_type}/month={month}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+def write_by_month(df: DataFrame, path: str, rebalance: bool = False, pairs: list[tuple[str, str]] | None = None) -> None:
     """Parquet by type and month. Only the months in ``df`` are replaced.
 
+    ``pairs`` names the (type, month) pairs that were processed: those without a row in
+    ``df`` lose what an earlier run wrote.
+
     ``rebalance`` is for tables shuffled by another key: it gathers each month into few
     files of even size, splitting a large month and joining small ones.
     """
+    if pairs is not None:
+        drop_months(df.sparkSession, path, pairs)
     if rebalance:
         df = df.hint("rebalance", "type", "month")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("type", "month").parquet(path)

@@ -10,7 +10,7 @@ def test_the_bit_set_keeps_the_result_exact(spark, bits):
     key = lambda df: sorted(r.n for r in df.collect())
     expected = [n for n in range(5000) if (n % 1700) % 7 == 0]
     assert key(rows_with_ids(rows, ids)) == expected
-    filtered = rows_with_ids(rows, ids, broadcast_ids=10, filter_bits=bits)
+    filtered = rows_with_ids(rows, ids, filter_bits=bits)
     assert key(filtered) == expected
     assert filtered.columns == rows.columns
 
@@ -18,4 +18,4 @@ def test_the_bit_set_keeps_the_result_exact(spark, bits):
 def test_one_hot_id(spark):
     rows = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) AS id", "id AS n")
     ids = spark.createDataFrame([("hot",), ("7",)], "id string")
-    assert rows_with_ids(rows, ids, broadcast_ids=0, filter_bits=1 << 10).count() == 1001
+    assert rows_with_ids(rows, ids, filter_bits=1 << 10).count() == 1001
