@@ -58,8 +58,17 @@ def over_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(run, schema)
 
 
-def ids_of(batch: pa.RecordBatch, name: str = "doc_id") -> list:
-    return batch.column(batch.schema.get_field_index(name)).to_pylist()
+def over_rows(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], text_col: str, limit: int = PIECE_BYTES) -> DataFrame:
+    """Rows of ``df``, all columns, changed or filtered by ``work`` in pieces of at most ``limit`` bytes of text."""
+    cut = pieces
+
+    def run(batches):
+        for piece in cut(batches, limit, text_col):
+            out = work(piece)
+            if out.num_rows:
+                yield out
+
+    return df.mapInArrow(run, df.schema)
 
 
 def write_shared(df: DataFrame, name: str) -> DataFrame:

@@ -18,9 +18,8 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .frames import id_and_text, over_texts
+from .frames import id_and_text, over_rows, over_texts
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn")
@@ -168,8 +167,9 @@ def mask(docs: DataFrame, threshold: float = 0.5, text_col: str = "text") -> Dat
     """``docs`` with the spans of ``text_col`` masked; null texts stay null, other columns stay as they are."""
     find, cover = find_spans, masked
 
-    @F.pandas_udf("string")
-    def covered(texts):
-        return texts.map(lambda t: cover(t, find(t, threshold)), na_action="ignore")
+    def work(piece):
+        at = piece.schema.get_field_index(text_col)
+        texts = [None if t is None else cover(t, find(t, threshold)) for t in piece.column(at).to_pylist()]
+        return piece.set_column(at, piece.schema.field(at), pa.array(texts, piece.schema.field(at).type))
 
-    return docs.withColumn(text_col, covered(F.col(text_col).cast("string")))
+    return over_rows(docs, work, text_col)

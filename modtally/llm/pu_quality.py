@@ -18,15 +18,16 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import ranges, rolling, word_bounds, word_hashes
-from .frames import id_and_text, over_texts, text_bytes
+from .frames import id_and_text, over_rows, over_texts, text_bytes
 
 SAMPLE = 8_192
+# Features take about a hundred bytes a byte of text.
+PIECE = 2 << 20
 STEPS, RATE, DECAY = 400, 0.05, 1e-3
 SHAPES = 14
 FEATURES = 256 + SHAPES
@@ -187,7 +188,7 @@ def train(docs: DataFrame, positives: DataFrame, usable: Column | None = None, i
     chosen = pick(texts, 2).withColumn("unlabelled", F.lit(1)).join(trusted.withColumn("trusted", F.lit(1)), "doc_id", "full")
     # At most 2 * SAMPLE rows.
     chosen = chosen.select("doc_id", F.col("trusted").isNotNull().alias("trusted"), F.col("unlabelled").isNotNull().alias("unlabelled"))
-    held = over_texts(texts.join(F.broadcast(chosen.select("doc_id")), "doc_id").dropDuplicates(["doc_id"]), _features, "doc_id long, x array<float>")
+    held = over_texts(texts.join(F.broadcast(chosen.select("doc_id")), "doc_id").dropDuplicates(["doc_id"]), _features, "doc_id long, x array<float>", PIECE)
     rows = held.join(F.broadcast(chosen), "doc_id").orderBy("doc_id").toArrow()
     x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1).astype(np.float64) if rows.num_rows else np.zeros((0, FEATURES))
     flags = [np.array(rows.column(c).to_pylist(), bool) for c in ("trusted", "unlabelled")]
@@ -203,16 +204,10 @@ def _score(piece: pa.RecordBatch, model: Model) -> pa.RecordBatch:
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, predicted`` of every row; the score is the chance of a good text."""
-    return over_texts(id_and_text(docs, id_col, text_col), partial(_score, model=model), "doc_id long, score double, predicted int")
+    return over_texts(id_and_text(docs, id_col, text_col), partial(_score, model=model), "doc_id long, score double, predicted int", PIECE)
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
-    judge, measure = model, features
-
-    @F.pandas_udf("double")
-    def score(texts):
-        array = pa.array(texts.fillna(""), pa.large_string())
-        return pd.Series(judge.score(measure(*text_bytes(pa.RecordBatch.from_arrays([array], ["text"])))))
-
-    return docs.where(score(F.col(text_col).cast("string")) >= 0.5)
+    measure, raw = features, text_bytes
+    return over_rows(docs, lambda piece: piece.filter(pa.array(model.score(measure(*raw(piece, text_col))) >= 0.5)), text_col, PIECE)
