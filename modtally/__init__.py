@@ -4,5 +4,6 @@ import sys
 
 from pyspark import cloudpickle
 
-# Executors get the library's Python helpers with the job; nothing has to be installed there.
+# Executors get the library's Python helpers with the job. pandas, pyarrow, numpy and, for
+# zstd dumps, zstandard must be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
