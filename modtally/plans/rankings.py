@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SORT_KEYS = {"rate": "rate", "date": "last_created_utc"}
+from ..session import written
 
-# Up to this many ranked blocks the ids to look up are broadcast; beyond it Spark chooses.
-BROADCAST_ROWS = 10_000
+SORT_KEYS = {"rate": "rate", "date": "last_created_utc"}
 
 
 def page(
@@ -47,15 +46,21 @@ def _top(blocks: DataFrame, by: str, num_records: int | None) -> DataFrame:
         "total_items",
         F.col("score_of_max_pos_removed_item").alias("score"),
     )
-    return ranked if num_records is None else ranked.orderBy(*_best_first(by)).limit(num_records)
+    # Written once: every later step reads these rows, whose size Spark then knows.
+    return written(_ordered(ranked, by, num_records), "top")
+
 
+def _ordered(rows: DataFrame, by: str, num_records: int | None) -> DataFrame:
+    ordered = rows.orderBy(*_best_first(by))
+    return ordered if num_records is None else ordered.limit(num_records)
 
-def _only(right: DataFrame, key: str, keys: DataFrame, num_records: int | None) -> DataFrame:
-    """Rows of a large table whose key occurs among the ranked blocks, before the left join."""
-    keys = keys.select(F.col(keys.columns[0]).alias(key))
-    if num_records is not None and num_records <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    return right.join(keys, key, "left_semi")
+
+def _only(right: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of a large table whose key occurs among the ranked blocks, written once before the left join.
+
+    The written keys have a known size, by which Spark broadcasts them or not.
+    """
+    return written(right.join(keys.select(F.col(keys.columns[0]).alias(key)), key, "left_semi"), "found")
 
 
 def _trimmed(*names: str) -> list[Column]:
@@ -77,14 +82,13 @@ def top_comments(
     Joins stay LEFT because enrichment is never complete.
     """
     top = _top(page(blocks, subreddit, **bounds), by, num_records)
-    found = _only(comments, "id", top.select("id_of_max_pos_removed_item"), num_records).select(
+    found = _only(comments, "id", top.select("id_of_max_pos_removed_item")).select(
         F.col("id").alias("id_of_max_pos_removed_item"), "body", "created_utc", "link_id"
     )
-    joined = top.join(found, "id_of_max_pos_removed_item", "left")
-    titles = _only(posts, "id", joined.select("link_id"), num_records).select(F.col("id").alias("link_id"), "title")
+    titles = _only(posts, "id", found.select("link_id")).select(F.col("id").alias("link_id"), "title")
+    joined = top.join(found, "id_of_max_pos_removed_item", "left").join(titles, "link_id", "left")
     return (
-        joined.join(titles, "link_id", "left")
-        .orderBy(*_best_first(by))
+        _ordered(joined, by, num_records)
         .select(
             *_trimmed("subreddit"),
             "rate",
@@ -109,12 +113,11 @@ def top_posts(
 ) -> DataFrame:
     """The top blocks of a community with the title of their top removed post."""
     top = _top(page(blocks, subreddit, **bounds), by, num_records)
-    found = _only(posts, "id", top.select("id_of_max_pos_removed_item"), num_records).select(
+    found = _only(posts, "id", top.select("id_of_max_pos_removed_item")).select(
         F.col("id").alias("id_of_max_pos_removed_item"), "title", "num_comments", "created_utc"
     )
     return (
-        top.join(found, "id_of_max_pos_removed_item", "left")
-        .orderBy(*_best_first(by))
+        _ordered(top.join(found, "id_of_max_pos_removed_item", "left"), by, num_records)
         .select(
             *_trimmed("subreddit"),
             "rate",
@@ -139,7 +142,8 @@ _PARAMETERS = """
     rate_more DOUBLE DEFAULT NULL
 """
 
-# The rank is taken in slices first, so a large community is not sorted by one task.
+# The rank is taken in slices first and then in slices of what these kept, so that neither a
+# large community nor a large number of rows meets in one task before the last cut.
 # Spark rejects LIMIT with a parameter; without a limit no rank is needed at all.
 _TOP = """
     page AS (
@@ -156,13 +160,18 @@ _TOP = """
       FROM page
       WHERE {name}.num_records IS NOT NULL
     ),
-    ranked AS (
-      SELECT *, row_number() OVER (ORDER BY {key} DESC, last_id DESC) AS place
+    fewer AS (
+      SELECT *, row_number() OVER (PARTITION BY pmod(xxhash64(last_id), 16) ORDER BY {key} DESC, last_id DESC) AS second_rank
       FROM sliced
       WHERE slice_rank <= {name}.num_records
     ),
+    ranked AS (
+      SELECT *, row_number() OVER (ORDER BY {key} DESC, last_id DESC) AS place
+      FROM fewer
+      WHERE second_rank <= {name}.num_records
+    ),
     top AS (
-      SELECT * EXCEPT (slice_rank, place) FROM ranked WHERE place <= {name}.num_records
+      SELECT * EXCEPT (slice_rank, second_rank, place) FROM ranked WHERE place <= {name}.num_records
       UNION ALL
       SELECT * FROM page WHERE {name}.num_records IS NULL
     )

@@ -47,6 +47,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table, written once into the shared folder: read by many plans, with its true size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts the lineage and pins partitions, order and sampled ranges."""
     shared_dir(df.sparkSession)
