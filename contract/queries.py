@@ -15,7 +15,7 @@ from modtally.functions import (
     id_to_int,
     int_to_id,
     normalise_link_id,
-    period_series,
+    periods_between,
     strip_fullname_prefix,
     with_name_parts,
 )
@@ -170,14 +170,12 @@ def file_name_parts(spark, d):
 
 @query
 def period_series_months(spark, d):
-    first, last = table(spark, d, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
-    return period_series(spark, f"{first:%Y-%m}", f"{last:%Y-%m}")
+    return periods_between(table(spark, d, "orders").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last")), "month")
 
 
 @query
 def period_series_days(spark, d):
-    first, last = table(spark, d, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
-    return period_series(spark, f"{first:%Y-%m-%d}", f"{last:%Y-%m-%d}")
+    return periods_between(table(spark, d, "orders").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last")), "day")
 
 
 # --- scan, slim ----------------------------------------------------------------------
@@ -293,8 +291,7 @@ def packed_dump_paths(spark: SparkSession, d: str, extension: str, files: int |
                 packed = lzma.open(raw, "w", preset=0)
             with packed:
                 for batch in batches:
-                    for value in batch["value"]:
-                        packed.write(value.encode() + b"\n")
+                    packed.write("".join(batch["value"] + "\n").encode())
         yield pd.DataFrame({"path": [f"{folder}/{file}"]})
 
     lines = roles.comment_lines(spark, d).select("value")

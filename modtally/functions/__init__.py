@@ -1,5 +1,5 @@
 from .base36 import add_fullname_prefix, id_to_int, int_to_id, normalise_link_id, strip_fullname_prefix
-from .names import period_series, with_name_parts
+from .names import period_series, periods_between, with_name_parts
 from .text import clean_text, is_placeholder, strip_backslashes, unescape_html
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "is_placeholder",
     "normalise_link_id",
     "period_series",
+    "periods_between",
     "strip_backslashes",
     "strip_fullname_prefix",
     "unescape_html",

@@ -61,13 +61,14 @@ def period_series(spark: SparkSession, start: str, end: str) -> DataFrame:
     if start.count("-") != end.count("-") or start.count("-") not in (1, 2):
         raise ValueError(f"start and end must both be months or both be days: {start}, {end}")
     monthly = start.count("-") == 1
-    suffix, step, fmt = ("-01", "1 month", "yyyy-MM") if monthly else ("", "1 day", "yyyy-MM-dd")
-    return spark.range(1).select(
-        F.explode(
-            F.sequence(
-                F.lit(start + suffix).cast("date"),
-                F.lit(end + suffix).cast("date"),
-                F.expr(f"interval {step}"),
-            )
-        ).alias("d")
-    ).select(F.date_format("d", fmt).alias("period"))
+    suffix = "-01" if monthly else ""
+    bounds = spark.range(1).select(F.lit(start + suffix).cast("date").alias("first"), F.lit(end + suffix).cast("date").alias("last"))
+    return periods_between(bounds, "month" if monthly else "day")
+
+
+def periods_between(bounds: DataFrame, unit: str) -> DataFrame:
+    """Every ``month`` or ``day`` from column ``first`` to column ``last`` of each row, both included."""
+    fmt = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}[unit]
+    start, end = (F.date_trunc(unit, F.col(c)).cast("date") for c in ("first", "last"))
+    days = bounds.select(F.explode(F.sequence(start, end, F.expr(f"interval 1 {unit}"))).alias("d"))
+    return days.select(F.date_format("d", fmt).alias("period"))

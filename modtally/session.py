@@ -47,6 +47,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it lies; nothing happens when it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The table, written once into the shared folder: read by many plans, with its true size."""
     path = scratch_path(df.sparkSession, name)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import BLOCK_COLUMNS, BLOCKS, BLOCKS_BY_MONTH, ENRICHED, ID_LIST, SLIM, SLIM_BY_MONTH
+from ..session import remove
 
 
 # Texts keep their blanks at both ends.
@@ -15,10 +16,8 @@ _CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignore
 
 def drop_months(spark: SparkSession, path: str, pairs: list[tuple[str, str]]) -> None:
     """Delete the folders of the given (type, month) pairs, on whatever store the table lies."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for item_type, month in pairs:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/type={item_type}/month={month}")
-        folder.getFileSystem(conf).delete(folder, True)
+        remove(spark, f"{path}/type={item_type}/month={month}")
 
 
 def write_by_month(df: DataFrame, path: str, rebalance: bool = False, pairs: list[tuple[str, str]] | None = None) -> None:
