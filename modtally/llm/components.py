@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import write_shared
+from .frames import discard, write_shared
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -30,12 +30,17 @@ def connected_components(links: DataFrame) -> DataFrame:
         a = parent.select(F.col("id").alias("a"), F.col("up").alias("pa"))
         b = parent.select(F.col("id").alias("b"), F.col("up").alias("pb"))
         moved = left.join(a, "a").join(b, "b").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
-        left = write_shared(moved.where("a <> b").distinct(), "links")
+        contracted = write_shared(moved.where("a <> b").distinct(), "links")
+        discard(left, hooked)
+        left = contracted
         if state is None:
             state = parent
         else:
             step = parent.select(F.col("id").alias("up"), F.col("up").alias("next"))
-            state = write_shared(state.join(step, "up", "left").select("id", F.coalesce("next", "up").alias("up")), "state")
+            followed = write_shared(state.join(step, "up", "left").select("id", F.coalesce("next", "up").alias("up")), "state")
+            discard(state, parent)
+            state = followed
+    discard(left)
     if state is None:
         return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
     least = state.groupBy("up").agg(F.min("id").alias("component"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modtally.session import scratch_path
+from modtally.session import remove, scratch_path
 
 # Texts one task holds as arrays at a time. A single longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
@@ -76,4 +76,12 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.shared_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that no later step reads."""
+    for table in tables:
+        remove(table.sparkSession, table.shared_path)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import winnow
 from .arrays import mix, ranges, rolling, word_hashes
-from .frames import id_and_text, over_texts, pieces, text_bytes, write_shared
+from .frames import discard, id_and_text, over_texts, pieces, text_bytes, write_shared
 
 K = 16
 PIECE = 2 << 20
@@ -270,6 +270,7 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 200, keep_bytes: bool = T
     # Least ranks are an even sample of the k-grams; its size is fixed.
     sample = sorted(r.lead for r in reports.where("lead is not null").orderBy("rank").limit(SPLITTER_SAMPLE).select("lead").collect())
     splitters = np.unique(np.array([sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else [], dtype=f"S{K}"))
+    discard(reports)
     shared = docs.sparkSession.sparkContext.broadcast((common.hashes, splitters))
     ship, cut, listed, ordered, schema, limit = _ship, pieces, winnow.Common, _sorted_spans, winnow.SPANS_ARROW, PIECE
     kinds = {"bucket": pa.int64(), "n": pa.int64(), "total": pa.int64(), "blob": pa.binary()}

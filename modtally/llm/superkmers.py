@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 
 from . import winnow
 from .arrays import mix, ranges, rolling, word_bounds, word_hashes
-from .frames import id_and_text, over_texts, pieces, text_bytes, write_shared
+from .frames import discard, id_and_text, over_texts, pieces, text_bytes, write_shared
 
 K = 3
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 LEAST_BUCKETS = 64
 # Distinct strings of frequent minimisers that a task remembers.
 REMEMBERED = 200_000
@@ -213,6 +213,7 @@ def remove_repeats(docs: DataFrame, size: int = 20, keep_text: bool = True, id_c
     reports = write_shared(over_texts(texts.select("text"), _report, "gram long, n long, bytes long"), "grams")
     totals = reports.where("gram is null").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).first()
     common = winnow.common_of(reports, totals.n or 0)
+    discard(reports)
     shared = docs.sparkSession.sparkContext.broadcast(common.hashes)
     buckets = max(LEAST_BUCKETS, (totals.bytes or 0) // BUCKET_BYTES)
     ship, cut, listed, count, spans_schema = _ship, pieces, winnow.Common, _count, winnow.SPANS_ARROW
