@@ -107,9 +107,9 @@ def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct sorted keys with the sums of their values (one column or several)."""
+    """Distinct sorted keys with the sums of their values (one column or several), in 64 bits."""
     order = np.argsort(keys)
-    keys, values = keys[order], values[order]
+    keys, values = keys[order], values[order].astype(np.int64)
     head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return keys[head], np.add.reduceat(values, head, axis=0) if len(head) else values
 
@@ -154,7 +154,6 @@ def _words(piece: pa.RecordBatch, bits: int) -> pa.RecordBatch | None:
 
 def _store_words(key, rows: pa.Table, folder: str) -> pa.Table:
     keys, counts = summed(*unshelve(rows, [np.uint64, np.uint32]))
-    counts = counts.astype(np.int64)
     part = key[0].as_py()
     put(folder, f"words-{part}", keys)
     put(folder, f"counts-{part}", counts)
@@ -221,9 +220,10 @@ def _store_bigrams(key, rows: pa.Table, folder: str) -> pa.RecordBatch | None:
     hashed = mix(keys)
     order = np.argsort(hashed)
     put(folder, f"pairs-{part}", hashed[order])
-    put(folder, f"seen-{part}", counts[order].astype(np.uint32))
+    # Four bytes a count unless one of the range needs eight.
+    put(folder, f"seen-{part}", counts[order].astype(np.uint32 if counts.max() < 1 << 32 else np.int64))
     before, now = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
-    table = np.zeros((2 * len(keys), 5), np.uint32)
+    table = np.zeros((2 * len(keys), 5), np.int64)
     n = len(keys)
     table[:n, 1] = counts
     for i in (1, 2):
@@ -232,13 +232,13 @@ def _store_bigrams(key, rows: pa.Table, folder: str) -> pa.RecordBatch | None:
     table[n:, 0] = 1
     word, table = summed(np.concatenate((before, now)), table)
     tallied = [int((counts == i).sum()) for i in (1, 2, 3, 4)]
-    out = shelves(word, (word >> np.uint64(STATS_BITS)).astype(np.int64), [table[:, c].astype(np.uint32) for c in range(5)])
+    out = shelves(word, (word >> np.uint64(STATS_BITS)).astype(np.int64), [np.ascontiguousarray(table[:, c]) for c in range(5)])
     tally = pa.array([tallied] + [None] * (out.num_rows - 1), pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays([*out.columns, tally], [*out.schema.names, "tally"])
 
 
 def _store_stats(key, rows: pa.Table, folder: str) -> pa.Table:
-    word, *columns = unshelve(rows, [np.uint64] + [np.uint32] * 5)
+    word, *columns = unshelve(rows, [np.uint64] + [np.int64] * 5)
     part = key[0].as_py()
     table = np.zeros(1 << STATS_BITS, STATS)
     at = (word - np.uint64(part << STATS_BITS)).astype(np.int64)
@@ -295,7 +295,9 @@ class Model:
             except (FileNotFoundError, ValueError):
                 continue
             at = np.minimum(np.searchsorted(held, keys[i:j]), len(held) - 1)
-            out[i:j] = np.where(held[at] == keys[i:j], files.get(f"seen-{part[i]}", np.uint32)[at], 0)
+            seen = files.get(f"seen-{part[i]}", np.uint8)
+            seen = seen.view(np.uint32 if len(seen) == 4 * len(held) else np.int64)
+            out[i:j] = np.where(held[at] == keys[i:j], seen[at], 0)
         return out
 
     def log10(self, files: Files, before: np.ndarray, now: np.ndarray) -> np.ndarray:
