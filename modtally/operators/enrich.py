@@ -143,11 +143,23 @@ def enrich(
     inaccessible: DataFrame | None = None,
     comments: DataFrame | None = None,
     compat: bool = False,
+    older: tuple[DataFrame, DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(enriched table, ids that were not found)."""
+    """(enriched table, ids that were not found).
+
+    ``older`` holds versions of earlier builds and the ids these builds looked up in them.
+    Only ids that are new and not among ``versions`` are looked up there, which is rare:
+    without such an id the older texts are not read at all.
+    """
     if existing is not None:
         check_fields(existing, item_type)
     ids = materialise(ids_to_lookup(blocks, item_type, existing, inaccessible, comments, compat))
     found = lookup(ids, versions, item_type)
+    if older is not None:
+        earlier, asked = older
+        found = materialise(found)
+        rest = materialise(ids_not_found(ids, found).join(asked.select("id"), "id", "left_anti"))
+        if not rest.isEmpty():
+            found = found.unionByName(lookup(rest, earlier, item_type))
     rows = found if existing is None else merge_lookups(found, existing, item_type)
     return attach_score(rows, blocks, item_type), ids_not_found(ids, found)

@@ -179,10 +179,13 @@ def build_tables(
     inaccessible: dict[str, DataFrame] | None = None,
     settings: Settings = Settings(),
     version: int = 1,
+    fresh: list[tuple[str, str]] | None = None,
 ) -> dict[str, DataFrame]:
     """Stage 4: enrich the top items from the classified lines and stage all four tables.
 
-    Comments come before posts, because posts also need the comments' parents.
+    Comments come before posts, because posts also need the comments' parents. ``fresh``
+    names the months read since the live tables were made: texts are looked up there, and
+    in older months only for ids that no earlier build asked for.
     """
     merged = spark.read.parquet(f"{out}/merged")
     inaccessible = inaccessible or {}
@@ -193,13 +196,21 @@ def build_tables(
         named = blocks.where("id_of_max_pos_removed_item <> ''")
         check_unique(named, "id_of_max_pos_removed_item", f"{item_type} blocks")
         known = inaccessible.get(item_type, spark.createDataFrame([], ID_LIST))
+        recent, older = classified, None
+        if live is not None and fresh is not None:
+            recent = _only(classified, fresh)
+            asked = live[f"aggregate_{item_type}"].select(F.col("id_of_max_pos_removed_item").alias("id"))
+            if item_type == "posts":
+                asked = asked.unionByName(live["comments"].select(F.col("link_id").alias("id")))
+            older = stored_versions(classified, item_type), asked
         rows, missing = enrich(
             blocks,
-            stored_versions(classified, item_type),
+            stored_versions(recent, item_type),
             item_type,
             existing=None if live is None else live[item_type],
             inaccessible=known,
             comments=tables.get("comments"),
+            older=older,
         )
         path = f"{out}/enriched/version={version}/{item_type}"
         rows.write.mode("overwrite").parquet(path)
@@ -230,6 +241,10 @@ def build(
     live = None if previous is None else publication.read_version(spark, base, previous)
     version = 1 if previous is None else previous + 1
     inaccessible = {**stored_inaccessible(spark, out, previous), **(inaccessible or {})}
-    build_tables(spark, out, read_classified(spark, out), live, inaccessible, settings, version)
+    months = read_done(spark, out, "slim").select("type", "month", "run").distinct()
+    last = read_done(spark, out, "published").agg(F.max("run")).first()[0]
+    fresh = None if previous is None or last is None or settings.force else [(r.type, r.month) for r in months.where(F.col("run") > last).collect()]
+    build_tables(spark, out, read_classified(spark, out), live, inaccessible, settings, version, fresh)
     publication.publish(spark, base, version)
+    log_done(spark, out, "published", [("all", "all", None, None, f"version={version}")])
     return publication.read_live(spark, base)

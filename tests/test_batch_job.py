@@ -195,3 +195,29 @@ def test_quoted_flags_are_true(spark):
     )
     removed = {r.pos: r.is_removed for r in kept_items(classify(lines)).collect()}
     assert removed == {0: False, 1: False, 2: True, 3: True, 4: True, 5: True, 6: False}
+
+
+def test_a_later_build_reads_no_old_texts(spark, tmp_path):
+    """The old month's texts are gone, and nothing misses them."""
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    settings = B.Settings(n_rows=10, min_rows=5, update_inaccessible=True)
+    dump(raw, "RC_2018-01.zst", [comment(i) for i in range(40)])
+    dump(raw, "RS_2018-01.zst", [post(i) for i in range(10)])
+    first = B.build(spark, str(raw), out, settings=settings)
+    before = {r.id: r.body for r in first["comments"].collect()}
+    for part in (tmp_path / "out" / "classified" / "type=comments" / "month=2018-01").glob("*.parquet"):
+        part.write_bytes(b"unreadable")
+    dump(raw, "RC_2018-02.zst", [comment(i) for i in range(100, 140)])
+    after = {r.id: r.body for r in B.build(spark, str(raw), out, settings=settings)["comments"].collect()}
+    assert before.items() <= after.items() and len(after) > len(before)
+    assert any(int(i[1:]) >= 100 for i in after)
+
+
+def test_new_ids_of_old_months_are_found(spark, tmp_path):
+    """Other blocks have other top items; those are looked up in the old months."""
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    dump(raw, "RC_2018-01.zst", [comment(i) for i in range(60)])
+    B.build(spark, str(raw), out, settings=B.Settings(n_rows=30, min_rows=5))
+    tables = B.build(spark, str(raw), out, settings=B.Settings(n_rows=6, min_rows=5))
+    tops = {r.id for r in tables["aggregate_comments"].selectExpr("id_of_max_pos_removed_item AS id").collect()}
+    assert tops <= {r.id for r in tables["comments"].collect()} and len(tops) > 5
