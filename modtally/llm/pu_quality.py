@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .arrays import ranges, rolling, word_bounds, word_hashes
 from .frames import id_and_text, over_rows, over_texts, text_bytes
 
-SAMPLE = 8_192
+SAMPLE = 4_096
 # Features take about a hundred bytes a byte of text.
 PIECE = 2 << 20
 STEPS, RATE, DECAY = 400, 0.05, 1e-3
@@ -121,10 +121,10 @@ class Model:
 
 def _descend(p: np.ndarray, u: np.ndarray, gradient, prior: float) -> Model:
     """Adam on standardised features; ``gradient`` gives the slopes at the margins of p and u."""
-    mean, scale = u.mean(axis=0), u.std(axis=0)
+    mean, scale = u.mean(axis=0, dtype=np.float64), u.std(axis=0, dtype=np.float64)
     scale[scale < 1e-6] = 1.0
-    p, u = (np.clip((x - mean) / scale, -8, 8) for x in (p, u))
     both = np.concatenate((p, u))
+    both = np.clip((both - mean.astype(both.dtype)) / scale.astype(both.dtype), -8, 8)
     w = np.zeros(both.shape[1] + 1)
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
@@ -190,7 +190,7 @@ def train(docs: DataFrame, positives: DataFrame, usable: Column | None = None, i
     chosen = chosen.select("doc_id", F.col("trusted").isNotNull().alias("trusted"), F.col("unlabelled").isNotNull().alias("unlabelled"))
     held = over_texts(texts.join(F.broadcast(chosen.select("doc_id")), "doc_id").dropDuplicates(["doc_id"]), _features, "doc_id long, x array<float>", PIECE)
     rows = held.join(F.broadcast(chosen), "doc_id").orderBy("doc_id").toArrow()
-    x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1).astype(np.float64) if rows.num_rows else np.zeros((0, FEATURES))
+    x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, FEATURES))
     flags = [np.array(rows.column(c).to_pylist(), bool) for c in ("trusted", "unlabelled")]
     return fit(x[flags[0]], x[flags[1]])
 
