@@ -29,7 +29,7 @@ from . import winnow
 from .arrays import mix, ranges, rolling, word_bounds, word_hashes
 from .frames import discard, id_and_text, over_texts, pieces, text_bytes, write_shared
 
-K = 3
+K = 2
 BUCKET_BYTES = 2 << 20
 LEAST_BUCKETS = 64
 # Distinct strings of frequent minimisers that a task remembers.
@@ -127,7 +127,7 @@ def _ship(piece: pa.RecordBatch, size: int, common: winnow.Common, buckets: int,
     body = norm[ranges(low, high - low)]
     body_at = np.concatenate(([0], np.cumsum(high - low)))
     cuts = np.append(np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), len(bucket))
-    codec = pa.Codec("zstd", compression_level=3)
+    codec = pa.Codec("zstd", compression_level=5)
     blobs = []
     for i, j in zip(cuts[:-1], cuts[1:], strict=True):
         whole = np.concatenate((winnow.record_bytes(meta[i:j]), body[body_at[i] : body_at[j]]))
