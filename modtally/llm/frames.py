@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +32,13 @@ def text_bytes(batch: pa.RecordBatch, name: str = "text") -> tuple[np.ndarray, n
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers are kept for later tasks, and the C library keeps what arrays freed."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES, name: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of a piece stay under ``limit`` bytes."""
     for batch in batches:
@@ -43,6 +51,7 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES, name: st
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first)
             first = last
+    give_back()
 
 
 def over_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = PIECE_BYTES) -> DataFrame:

@@ -44,6 +44,7 @@ BLOCK = 1024
 # Members of small families that share a verification task's group.
 GROUP = 2048
 STEP_ELEMENTS = 1 << 17
+PIECE = 2 << 20
 COLUMNS = 4096
 
 
@@ -219,7 +220,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
     texts = id_and_text(docs, id_col, text_col)
     bands, rows = bands_for(percent)
     signed = over_texts(
-        texts, partial(_sign, k=k, bands=bands, rows=rows), "doc_id long, n_shingles long, digest binary, bands array<long>"
+        texts, partial(_sign, k=k, bands=bands, rows=rows), "doc_id long, n_shingles long, digest binary, bands array<long>", PIECE
     )
     signed = write_shared(signed, "signatures")
     some = signed.where("digest is not null and doc_id is not null")
