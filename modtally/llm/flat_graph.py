@@ -11,9 +11,15 @@
    united lists, then the range is expanded over neighbours of what is in range until no
    new one is. Cosines are computed in double precision; only pairs at ``least`` or above
    are links, seen from either end.
-5. Recall is audited against brute force for the classes whose id is divisible by
-   ``AUDIT_EVERY`` (at most ``AUDITED``, of least hashed id); below ``recall`` the search is
-   repeated with twice the overlap and beam.
+5. The audit counts the links of every class whose id is divisible by ``AUDIT_EVERY`` by brute
+   force, ``ASKED`` of them at a time (of every hashed id so divisible if no id is, of every id if
+   that is none either). Below ``recall`` the search is repeated with twice the overlap and beam,
+   up to ``MOST_OVERLAP``.
+6. Shards that stay short, and from the start those whose audited classes have more than
+   ``LISTED`` links on average, are compared exactly instead: their classes, ``ASKED`` at a time,
+   with every class that the triangle inequality leaves within reach of their shards. That
+   gives counts per class and a spanning forest, no list of pairs; the graph keeps the links
+   between all other classes. A recall still below ``recall`` is an error.
 
 Rows that repeat an id count as copies. A null id links with nothing.
 """
@@ -36,7 +42,10 @@ SHARD = 600
 MOST_SHARDS = 1_024
 DEGREE, ALPHA, CANDIDATES = 24, 1.2, 96
 BEAM = 24
-AUDIT_EVERY, AUDITED = 50, 1_024
+AUDIT_EVERY, ASKED = 50, 8_192
+MOST_OVERLAP, LISTED = 12, 256
+# Rows that are compared with ``ASKED`` classes at a time.
+ROWS = 512
 # Nodes this much below the range are still expanded.
 SLACK = 0.05
 BLOCK = 2_048
@@ -200,15 +209,16 @@ def _search(shard: pa.Table, least: float, beam: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def links_of(classes: DataFrame, least: float, overlap: int, beam: int) -> DataFrame:
-    """Distinct links ``a < b`` between the rows of ``id, vector``."""
-    n = classes.count()
-    shards = int(min(MOST_SHARDS, max(1, n // SHARD)))
+def fitted(classes: DataFrame) -> np.ndarray:
+    """Centroids of the shards."""
+    shards = int(min(MOST_SHARDS, max(1, classes.count() // SHARD)))
     sample = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
-    if not sample.num_rows:
-        return classes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     x = matrix(sample.column("vector").combine_chunks())
-    c = centroids(x, min(shards, len(x)))
+    return centroids(x, min(shards, len(x)))
+
+
+def links_of(classes: DataFrame, c: np.ndarray, least: float, overlap: int, beam: int) -> DataFrame:
+    """Distinct links ``a < b`` between the rows of ``id, vector``."""
     assign, graph, find = partial(_assign, c=c, overlap=overlap), _graph, partial(_search, least=least, beam=beam)
 
     def deal(batches):
@@ -223,26 +233,172 @@ def links_of(classes: DataFrame, least: float, overlap: int, beam: int) -> DataF
     return nodes.groupBy("shard").applyInArrow(lambda key, rows: find(rows), "a long, b long").distinct()
 
 
-def audit(classes: DataFrame, links: DataFrame, least: float) -> float:
-    """Share of the brute-force links of the audited classes that ``links`` holds."""
-    asked = classes.where(F.col("id") % AUDIT_EVERY == 0).orderBy(F.xxhash64("id"), "id").limit(AUDITED).toArrow()
-    if not asked.num_rows:
-        return 1.0
-    q, names = matrix(asked.column("vector").combine_chunks()), asked.column("id").to_numpy()
-    unit = matrix
+def own_shard(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return (x @ c.T).argmax(axis=1)
 
-    def against(batches):
-        for batch in batches:
-            if batch.num_rows:
-                ids = batch.column(0).to_numpy()
-                i, j = np.nonzero(unit(batch.column(1)) @ q.T >= least)
-                other = ids[i] != names[j]
-                a, b = ids[i][other], names[j][other]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    true = classes.select("id", "vector").mapInArrow(against, "a long, b long").distinct()
-    found = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*").alias("n"), F.count("hit").alias("hits")).first()
-    return found.hits / found.n if found.n else 1.0
+def _owners(batches, c: np.ndarray):
+    """``id, shard`` and the cosine with the shard's centroid, of the nearest shard."""
+    for batch in batches:
+        if batch.num_rows:
+            near = matrix(column(batch, "vector")) @ c.T
+            yield pa.RecordBatch.from_arrays([column(batch, "id"), pa.array(near.argmax(axis=1)), pa.array(near.max(axis=1))], ["id", "shard", "cosine"])
+
+
+def tied(near: np.ndarray, parent: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Unite the asked classes ``cols`` that a row of ``near`` (every row has a hit) links with; the rows' roots."""
+    none = len(parent)
+    while True:
+        root = parent[cols]
+        rows = np.where(near, root, none).min(axis=1)
+        least = np.where(near, rows[:, None], none).min(axis=0)
+        if (least == root).all():
+            return rows
+        np.minimum.at(parent, root, least)
+        while (parent[parent] != parent).any():
+            parent[:] = parent[parent]
+
+
+def _against(batches, asked: pa.Table, least: float, reach: tuple | None):
+    """Counts of links of the asked classes: ``id, more`` (copies counted), ``degree`` (classes).
+
+    With ``reach`` (all centroids, the exact shards, the asked classes' shards, least cosine
+    with each of those) rows out of reach are passed over, rows of other shards get their
+    counts as well, and ``id, other`` ties up what is linked.
+    """
+    asked = asked.sort_by("id").combine_chunks()
+    names, copies = asked.column("id").to_numpy(), asked.column("n").to_numpy()
+    q = matrix(asked.column("vector").combine_chunks())
+    more, degree, parent = np.zeros(len(q)), np.zeros(len(q), np.int64), np.arange(len(q))
+
+    def told(ids, more, degree, other=None):
+        other = pa.nulls(len(ids), pa.int64()) if other is None else pa.array(other)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.asarray(more, np.int64)), pa.array(np.asarray(degree, np.int64)), other], ["id", "more", "degree", "other"])
+
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            part = batch.slice(first, ROWS)
+            ids, n = column(part, "id").to_numpy(), column(part, "n").to_numpy()
+            x = matrix(column(part, "vector"))
+            listed = np.zeros(len(x), bool)
+            if reach:
+                c, exact, shards, bound = reach
+                near = x @ c.T
+                listed = ~np.isin(near.argmax(axis=1), exact)
+                some = (near[:, shards] >= bound).any(axis=1)
+                ids, n, x, listed = ids[some], n[some], x[some], listed[some]
+            near = x @ q.T >= least
+            at = np.minimum(np.searchsorted(names, ids), len(names) - 1)
+            same = names[at] == ids
+            near[np.flatnonzero(same), at[same]] = False
+            rows, cols = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+            if not len(rows):
+                continue
+            near, ids, listed = near[np.ix_(rows, cols)], ids[rows], listed[rows]
+            degree[cols] += near.sum(axis=0)
+            more[cols] += n[rows].astype(np.float64) @ near
+            if reach:
+                yield told(ids[listed], near[listed] @ copies[cols].astype(np.float64), near[listed].sum(axis=1))
+                zero = np.zeros(len(ids), np.int64)
+                yield told(ids, zero, zero, names[tied(near, parent, cols)])
+    hit = np.flatnonzero(degree)
+    yield told(names[hit], more[hit], degree[hit])
+    if reach:
+        hit = np.flatnonzero(parent != np.arange(len(parent)))
+        zero = np.zeros(len(hit), np.int64)
+        yield told(names[hit], zero, zero, names[parent[hit]])
+
+
+COUNTED = "id long, more long, degree long, other long"
+
+
+class Audit:
+    """True links of the audited classes, counted by brute force."""
+
+    def __init__(self, classes: DataFrame, c: np.ndarray, least: float):
+        hashed = F.xxhash64("id")
+        for self.asked in (F.col("id") % AUDIT_EVERY == 0, F.pmod(hashed, F.lit(AUDIT_EVERY)) == 0, F.lit(True)):
+            n = classes.where(self.asked).count()
+            if n:
+                break
+        ids, shards, true = [], [], {}
+        groups = -(-n // ASKED)
+        for g in range(groups):
+            asked = classes.where(self.asked).where(F.pmod(F.hash("id"), F.lit(groups)) == g).select("id", "n", "vector").toArrow()
+            if asked.num_rows:
+                ids.append(asked.column("id").to_numpy())
+                shards.append(own_shard(matrix(asked.column("vector").combine_chunks()), c))
+                work = partial(_against, asked=asked, least=least, reach=None)
+                counted = classes.select("id", "n", "vector").mapInArrow(work, COUNTED).groupBy("id").agg(F.sum("degree").alias("degree"))
+                true |= {r.id: r.degree for r in counted.collect()}
+        self.ids, self.shard = np.concatenate(ids), np.concatenate(shards)
+        self.true = np.array([true.get(i, 0) for i in self.ids.tolist()], np.int64)
+        self.width = len(c)
+
+    def sums(self, counts: np.ndarray) -> np.ndarray:
+        return np.bincount(self.shard, weights=counts, minlength=self.width)
+
+    def dense(self) -> np.ndarray:
+        return np.flatnonzero(self.sums(self.true) > LISTED * self.sums(np.ones(len(self.ids))))
+
+    def judge(self, counts: DataFrame, recall: float) -> tuple[float, np.ndarray]:
+        """(share of the true links that ``counts`` (``id, degree``) holds, the shards below ``recall``)."""
+        held = {r.id: r.degree for r in counts.where(self.asked).groupBy("id").agg(F.sum("degree").alias("degree")).collect()}
+        found = np.minimum([held.get(i, 0) for i in self.ids.tolist()], self.true)
+        total = int(self.true.sum())
+        return (int(found.sum()) / total if total else 1.0), np.flatnonzero(self.sums(found) < recall * self.sums(self.true))
+
+
+def compared(classes: DataFrame, c: np.ndarray, exact: np.ndarray, least: float) -> tuple[DataFrame, DataFrame]:
+    """(the classes of all shards but ``exact``; counts and ties of all links with a class of an exact shard)."""
+    owners, work = _owners, partial
+    owned = classes.select("id", "vector").mapInArrow(work(owners, c=c), "id long, shard long, cosine double")
+    asked = write_shared(owned.where(F.col("shard").isin(exact.tolist())), "exact")
+    rest = write_shared(classes.join(asked.select("id"), "id", "left_anti").select("id", "n", "vector"), "listed")
+    wide = write_shared(classes.select("id", "n", "vector").repartition(max(classes.sparkSession.sparkContext.defaultParallelism, 1)), "wide")
+    sizes = {r.shard: (r.n, r.cosine) for r in asked.groupBy("shard").agg(F.count("*").alias("n"), F.min("cosine").alias("cosine")).collect()}
+    # Shards side by side in one group lie near one another; a shard beyond the bound is cut by hashed id.
+    groups: list[tuple[list[int], int, int]] = []
+    left, held = [], 0
+    for shard in beside(c, sorted(sizes)):
+        n = sizes[shard][0]
+        if n > ASKED:
+            parts = -(-2 * n // ASKED)
+            groups += [([shard], parts, g) for g in range(parts)]
+            continue
+        if held + n > ASKED:
+            groups.append((left, 1, 0))
+            left, held = [], 0
+        left, held = [*left, shard], held + n
+    if left:
+        groups.append((left, 1, 0))
+    out = None
+    for shards, parts, g in groups:
+        members = asked.where(F.col("shard").isin(shards)).where(F.pmod(F.hash("id"), F.lit(parts)) == g)
+        rows = wide.join(members.select("id"), "id", "left_semi").select("id", "n", "vector").toArrow()
+        if not rows.num_rows:
+            continue
+        # A link's ends are at most the angle of ``least`` apart; a little more makes up for rounding.
+        angle = np.arccos(np.clip([sizes[s][1] for s in shards], -1, 1)) + np.arccos(min(least, 1.0)) + 1e-6
+        bound = np.where(angle < np.pi, np.cos(np.minimum(angle, np.pi)), -2.0)
+        counted = write_shared(wide.mapInArrow(work(_against, asked=rows, least=least, reach=(c, exact, np.array(shards), bound)), COUNTED), "compared")
+        out = counted if out is None else out.unionAll(counted)
+    return rest, out if out is not None else classes.sparkSession.createDataFrame([], COUNTED)
+
+
+def beside(c: np.ndarray, shards: list[int]) -> list[int]:
+    """The shards, each followed by the nearest one left."""
+    out, left = shards[:1], shards[1:]
+    while left:
+        out.append(left.pop(int((c[left] @ c[out[-1]]).argmax())))
+    return out
+
+
+def both_ends(links: DataFrame, size: DataFrame) -> DataFrame:
+    """``id, more, degree`` of both ends of every link."""
+    both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counts = both.join(size, both.b == size.other).groupBy(F.col("a").alias("id"))
+    return counts.agg(F.sum("n").alias("more"), F.count("*").alias("degree"))
 
 
 def near_vectors(
@@ -257,16 +413,33 @@ def near_vectors(
     classes = write_shared(
         keyed.where("key is not null").join(counted, "key").where("vec_id = id").dropDuplicates(["key"]).select("key", "id", "n", "vector"), "classes"
     )
-    while True:
-        links = write_shared(links_of(classes, least, overlap, beam), "links")
-        reached = audit(classes, links, least)
-        if reached >= recall or overlap >= 12:
-            break
-        overlap, beam = overlap * 2, beam * 2
     size = classes.select(F.col("id").alias("other"), "n")
-    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = both.join(size, both.b == size.other).groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("more"))
-    groups = connected_components(links)
+    if classes.isEmpty():
+        counts, ties, reached = classes.selectExpr("id", "n as more"), classes.selectExpr("id as a", "id as b"), 1.0
+    else:
+        c = fitted(classes)
+        told = Audit(classes, c, least)
+        exact, rest, counted = told.dense(), classes.select("id", "n", "vector"), vectors.sparkSession.createDataFrame([], COUNTED)
+        if len(exact):
+            rest, counted = compared(classes, c, exact, least)
+        while True:
+            links = write_shared(links_of(rest, c, least, overlap, beam), "links")
+            counts = both_ends(links, size).unionAll(counted.select("id", "more", "degree"))
+            reached, short = told.judge(counts, recall)
+            if reached >= recall or overlap >= MOST_OVERLAP:
+                break
+            overlap, beam = overlap * 2, beam * 2
+        if reached < recall:
+            rest, counted = compared(classes, c, np.union1d(exact, short), least)
+            for end in ("a", "b"):
+                links = links.join(rest.select(F.col("id").alias(end)), end, "left_semi").select("a", "b")
+            counts = both_ends(links, size).unionAll(counted.select("id", "more", "degree"))
+            reached = told.judge(counts, recall)[0]
+            if reached < recall:
+                raise RuntimeError(f"audited recall {reached:.4f} is below {recall}")
+        ties = links.select("a", "b").unionAll(counted.where("other is not null and id <> other").select(F.col("id").alias("a"), F.col("other").alias("b")))
+    more = counts.groupBy("id").agg(F.sum("more").alias("more"))
+    groups = connected_components(ties)
     told = classes.select("key", "id", "n").join(more, "id", "left").join(groups, "id", "left")
     told = told.select("key", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("links"), F.coalesce("component", "id").alias("component"))
     component_id = F.coalesce("component", "vec_id")

@@ -47,3 +47,40 @@ def test_odd_tables(spark):
     rows = [(5, [1.0, 0.0]), (5, [1.0, 0.0]), (None, [1.0, 0.0]), (6, None)]
     got = flat_graph.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))[0].collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(5, 1, 5, True), (5, 1, 5, True), (None, 0, None, True), (6, 0, 6, True)]))
+
+
+def blob(rng, n, size, others):
+    """A dense group that no shard holds, and rows that link with nothing."""
+    centre = rng.normal(size=size)
+    rows = [centre / np.linalg.norm(centre) + rng.normal(size=size) * 0.2 / np.sqrt(size) for _ in range(n)]
+    rows += [rng.normal(size=size) for _ in range(others)]
+    return [(i, rows[j].tolist()) for i, j in enumerate(rng.permutation(len(rows)))]
+
+
+def check_blob(spark, rows, share=1.0, **options):
+    rows = [*rows, *rows[:9]]
+    result, recall = flat_graph.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.95, **options)
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    links = (x @ x.T >= 0.95).sum(axis=1) - 1
+    want = {i: n for (i, _), n in zip(rows, links.tolist(), strict=True)}
+    got = result.collect()
+    assert recall >= 0.99 and all(r.n_links <= want[r.vec_id] for r in got) and sum(r.n_links for r in got) >= share * links.sum()
+    assert {r.component_id for r in got if r.n_links > 20} == {min(i for i, n in want.items() if n > 20)}
+
+
+def test_dense_group_over_many_shards(spark, monkeypatch):
+    """The overlap never reaches all shards of the group; short shards are compared exactly."""
+    for name, value in {"SHARD": 4, "LISTED": 10**9, "ASKED": 150, "AUDIT_EVERY": 1}.items():
+        monkeypatch.setattr(flat_graph, name, value, raising=False)
+    check_blob(spark, blob(np.random.default_rng(2), 600, 32, 300), 0.99, overlap=12)
+
+
+def test_dense_group_is_not_listed(spark, monkeypatch):
+    """Shards of many links are compared before any list of pairs is made."""
+    for name, value in {"SHARD": 30, "AUDIT_EVERY": 1}.items():
+        monkeypatch.setattr(flat_graph, name, value)
+    listed, find = [], flat_graph.links_of
+    monkeypatch.setattr(flat_graph, "links_of", lambda *a: listed.append(find(*a)) or listed[-1])
+    check_blob(spark, blob(np.random.default_rng(3), 600, 32, 300))
+    assert all(links.count() < 2_000 for links in listed)
