@@ -212,3 +212,22 @@ def test_answer_check():
     masks = lambda w: (latent_decontam.places(w), len(w))
     assert latent_decontam.lcs(*masks([1, 2, 3, 4, 2]), [9, 2, 3, 7, 2, 1]) == 3
     assert latent_decontam.lcs(*masks([1]), []) == 0
+
+
+def test_paraphrases_are_candidates(spark):
+    """Whatever words alone would confirm is found at any offset, at half the words and more."""
+    rng = random.Random(11)
+    names = [a + b + c for a in ("ba", "co", "di", "fe", "gu", "ha", "ki") for b in ("l", "m", "n", "r", "st", "v") for c in ("a", "o", "et", "ix", "um", "us", "ei", "an")]
+    prose = lambda k: [rng.choice(names) for _ in range(k)]
+    items = [(i, prose(rng.randint(16, 60))) for i in range(40)]
+    planted = []
+    for i in range(400):
+        words = list(items[i % 40][1])
+        share = (0.55, 0.65, 0.8, 1.0)[i // 40 % 4]
+        for k in rng.sample(range(len(words) - 5), min(len(words) - 5, round(len(words) * (1 - share)))):
+            words[k] = rng.choice(names)
+        planted.append(prose(rng.randint(0, 80)) + words + prose(rng.randint(0, 80)))
+    table = frame(spark, [(i, " ".join(w)) for i, w in enumerate(planted)])
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = {r.doc_id for r in latent_decontam.contaminated(table, benchmark).collect() if r.contaminated}
+    assert len(found) >= 0.97 * len(planted)
