@@ -231,3 +231,17 @@ def test_paraphrases_are_candidates(spark):
     benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
     found = {r.doc_id for r in latent_decontam.contaminated(table, benchmark).collect() if r.contaminated}
     assert len(found) >= 0.97 * len(planted)
+
+
+def test_excerpts_are_contaminated(spark):
+    """Part of an item is enough: a run of its words, or most of one passage of a long one."""
+    rng = random.Random(12)
+    names = [a + b + c for a in ("ba", "co", "di", "fe", "gu", "ha", "ki") for b in ("l", "m", "n", "r", "st", "v") for c in ("a", "o", "et", "ix", "um", "us", "ei", "an")]
+    prose = lambda k: [rng.choice(names) for _ in range(k)]
+    long, short = prose(200), prose(59)
+    edited = [w if k % 6 else rng.choice(names) for k, w in enumerate(long[32:96])]
+    excerpts = [long[50:120], long[:60], short[:30], short[3:16], edited]
+    docs = [(i, " ".join(prose(90) + e + prose(90))) for i, e in enumerate([*excerpts, short[3:15], prose(60)])]
+    benchmark = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short))], "item_id long, text string")
+    rows = latent_decontam.contaminated(frame(spark, docs), benchmark).collect()
+    assert {r.doc_id: r.item_id for r in rows if r.contaminated} == {0: 1, 1: 1, 2: 2, 3: 2, 4: 1}
