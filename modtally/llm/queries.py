@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, flat_graph, kneser_ney, latent_decontam, pii, pu_quality, sentencepiece_codec, suffix_array, superkmers, superminhash
+from . import chat_format, flat_graph, kneser_ney, latent_decontam, merkle, pii, pu_quality, sentencepiece_codec, suffix_array, superkmers, superminhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,3 +124,67 @@ def op6_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_latent_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent_decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression for the unsigned CRC-32 of an ASCII text: a byte is mixed in, then shifted out bit by bit."""
+    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [ascii(substr({text}, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    mixed = "CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: {mixed}), 4294967295)"
+
+
+MANIFEST = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*MANIFEST)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    altered = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    proofs = merkle.tamper_proofs(docs, MANIFEST, "source", "doc_id", altered, tampered)
+    proof = F.sha2(merkle.siblings(F.col("proof")).cast("binary"), 256).alias("proof_sha256")
+    return proofs.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+def _leaf_sql(text: str) -> str:
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+    return "sha256(" + " || ".join(field(c) for c in (*MANIFEST[:-1], text)) + ")"
+
+
+ORACLES["op11_merkle"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM (SELECT doc_id, source, {_leaf_sql('text')} AS leaf,
+    CASE WHEN {crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS changed FROM documents)
+), low AS (
+  SELECT source, 0 AS level, pos AS idx, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+  FROM low WHERE n > 1 GROUP BY source, level, idx // 3, n
+), subroots AS (
+  SELECT source, level AS height, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS level, place AS idx, subroot AS digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM high WHERE n > 1 GROUP BY level, idx // 3, n
+), nodes AS (
+  SELECT 's' || coalesce('=' || source, '') AS tree, level, idx, digest FROM low WHERE n > 1
+  UNION ALL SELECT '', level, idx, digest FROM high WHERE n > 1
+), runs AS (
+  SELECT tree, level, idx // 3 AS run, list(digest ORDER BY idx) AS digests FROM nodes GROUP BY tree, level, idx // 3
+), steps AS (
+  SELECT l.*, s.subroot, s.height, s.place FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+), fold AS (
+  SELECT doc_id, leaf, subroot, height, place, source, CASE WHEN height = 0 THEN place ELSE pos END AS idx, 0 AS level, coalesce(changed, leaf) AS digest, '' AS passed FROM steps
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.subroot, f.height, f.place, f.source,
+    CASE WHEN f.level + 1 = f.height THEN f.place ELSE f.idx // 3 END, f.level + 1,
+    sha256(array_to_string(list_transform(r.digests, lambda d, i: CASE WHEN i = f.idx % 3 + 1 THEN f.digest ELSE d END), '')),
+    f.passed || array_to_string(list_filter(r.digests, lambda d, i: i <> f.idx % 3 + 1), '')
+  FROM fold f JOIN runs r ON r.tree = CASE WHEN f.level < f.height THEN 's' || coalesce('=' || f.source, '') ELSE '' END
+    AND r.level = CASE WHEN f.level < f.height THEN f.level ELSE f.level - f.height END AND r.run = f.idx // 3
+)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM high WHERE n = 1) AS root, sha256(passed) AS proof_sha256, digest AS folded_root,
+  digest = (SELECT digest FROM high WHERE n = 1) AS verified
+FROM fold WHERE level = height + (SELECT max(level) FROM high)
+"""
