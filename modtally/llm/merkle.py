@@ -11,7 +11,7 @@ digest at their top, so that a tree of any height takes few rounds, each a hash
 requests descend from the root by the digits of their rank and collect the children they do not
 take; these path segments, reversed, are the proof from the leaf up.
 
-A group of any size is ranked without a task of its own (``number_in_group``) and cut into runs
+A group of any size is ranked without a task of its own (``ranked``) and cut into runs
 of ``FAN ** BAND`` nodes; no run is larger, and equal digests are stored once. Nothing is
 collected. Null groups and null order values come first; rows of equal order go by leaf digest,
 equal rows are leaves of their own next to each other. Null and empty texts differ (``-``,
@@ -25,13 +25,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from modtally.operators.ordering import MAX_GROUP_ROWS, number_in_group
-
 from .frames import discard, write_shared
 
 FAN = 3
@@ -128,7 +126,30 @@ def grow(nodes: DataFrame) -> Tree:
         nodes = made.select("tree", F.col("idx").alias("rank"), "digest")
 
 
-def build_manifest(docs: DataFrame, leaf: Column, group: Column, order: Column, keep: Sequence[Column] = (), max_group_rows: int = MAX_GROUP_ROWS) -> Manifest:
+def _upper_name() -> Column:
+    return F.left("tree", F.lit(0))
+
+
+def ranked(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Add ``rank``, the place of a row in its ``tree`` from 0 on; written, and no tree is the work of one task.
+
+    Rows are range-partitioned on tree and order; a row's rank is its place in its partition plus
+    what the partitions before hold of the tree.
+    """
+    by = [F.col("tree"), *order]
+    cut = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = write_shared(cut.withColumns({"_part": F.spark_partition_id(), "_place": place}), "merkle-placed")
+    shares = placed.groupBy("tree", "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("tree").orderBy("_part")) - F.col("_n")
+    shifts = shares.select("tree", "_part", (before - F.col("_first")).alias("_shift"))
+    out = placed.join(shifts, ["tree", "_part"]).withColumn("rank", F.col("_place") + F.col("_shift")).select(*rows.columns, "rank")
+    found = write_shared(out, "merkle-ranked")
+    discard(placed)
+    return found
+
+
+def build_manifest(docs: DataFrame, leaf: Column, group: Column, order: Column, keep: Sequence[Column] = ()) -> Manifest:
     """Manifest of ``docs``; ``leaf`` is the digest of a row, ``keep`` are further columns of the leaves."""
     # Written once: texts are read and hashed once, and equal rows keep one order.
     rows = write_shared(
@@ -136,12 +157,15 @@ def build_manifest(docs: DataFrame, leaf: Column, group: Column, order: Column,
         "merkle-leaves",
     )
     by = [F.col("_order").asc_nulls_first(), F.col("leaf"), F.col("_row")]
-    leaves = write_shared(number_in_group(rows, ["tree"], by, "rank", max_group_rows).drop("_order", "_row"), "merkle-ranked")
+    leaves = ranked(rows, by)
     discard(rows)
     lower = grow(leaves.select("tree", "rank", F.col("leaf").alias("digest")))
-    roots = lower.roots.withColumn("_all", F.lit(""))
-    groups = write_shared(number_in_group(roots, ["_all"], [F.col("tree")], "rank", max_group_rows).drop("_all"), "merkle-groups")
-    upper = grow(groups.select(F.lit("").alias("tree"), "rank", "digest"))
+    # The upper tree's name is a column, not a literal: joins on it stay hash joins.
+    roots = lower.roots.select(_upper_name().alias("tree"), F.col("tree").alias("name"), "digest")
+    placed = ranked(roots, [F.col("name")])
+    groups = placed.select(F.col("name").alias("tree"), "rank", "digest")
+    groups.shared_path = placed.shared_path
+    upper = grow(groups.select(_upper_name().alias("tree"), "rank", "digest"))
     return Manifest(leaves, lower, groups, upper)
 
 
@@ -234,7 +258,7 @@ def prove(made: Manifest, requests: DataFrame, who: Sequence[str]) -> DataFrame:
     """
     groups = requests.select("tree").distinct().join(made.groups, "tree")
     top = made.upper.roots.select("tree", "digest", F.lit(b"").alias("path"), F.col("digest").alias("subroot"), F.col("digest").alias("root"))
-    asked = groups.select(F.lit("").alias("tree"), "rank", F.col("digest").alias("leaf"), F.struct(F.col("tree").alias("name")).alias("who"))
+    asked = groups.select(_upper_name().alias("tree"), "rank", F.col("digest").alias("leaf"), F.struct(F.col("tree").alias("name")).alias("who"))
     found = _tree_paths(made.upper, top, asked, "struct<name:string>")
     # The upper part of a path goes on top-down, as one packed segment.
     starts = write_shared(
@@ -273,14 +297,14 @@ def discard_upper(made: Manifest) -> None:
     discard(made.groups, *made.upper.stores, *made.lower.stores[1:])
 
 
-def tamper_proofs(docs: DataFrame, fields: Sequence[str], group_col: str, order_col: str, altered: dict[str, Column], where: Column, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def tamper_proofs(docs: DataFrame, fields: Sequence[str], group_col: str, order_col: str, altered: dict[str, Column], where: Column) -> DataFrame:
     """Proofs of all rows, each folded from the leaf of its altered fields where ``where`` holds.
 
     Columns: ``order_col, leaf, subroot, root, proof, folded_root, verified``.
     """
     changed = F.when(where, F.unhex(leaf_digest(*(altered.get(f, F.col(f)) for f in fields))))
     keep = [F.col(order_col).alias("_id"), changed.alias("_changed")]
-    made = build_manifest(docs, leaf_digest(*(F.col(f) for f in fields)), F.col(group_col), F.col(order_col), keep, max_group_rows)
+    made = build_manifest(docs, leaf_digest(*(F.col(f) for f in fields)), F.col(group_col), F.col(order_col), keep)
     proofs = prove(made, made.leaves, ["_id", "_changed"])
     discard_upper(made)
     start = F.coalesce(F.lower(F.hex("_changed")), F.col("leaf"))
