@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, flat_graph, kneser_ney, latent_decontam, merkle, pii, pu_quality, sentencepiece_codec, suffix_array, superkmers, superminhash
+from . import chat_format, flat_graph, kneser_ney, latent_decontam, merkle, pii, pu_quality, quality_rules, sentencepiece_codec, suffix_array, superkmers, superminhash, turn_repair
+from .frames import id_and_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,8 +128,10 @@ def op5_latent_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crc32_sql(text: str) -> str:
-    """DuckDB expression for the unsigned CRC-32 of an ASCII text: a byte is mixed in, then shifted out bit by bit."""
-    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [ascii(substr({text}, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    """DuckDB expression for the unsigned CRC-32 of a text: each byte is mixed in, then shifted out bit by bit."""
+    code = f"hex(encode({text}))"
+    byte = f"CAST('0x' || substr({code}, 2 * i - 1, 2) AS BIGINT)"
+    steps = f"flatten(list_transform(range(1, strlen({text}) + 1), lambda i: [{byte}, -1, -1, -1, -1, -1, -1, -1, -1]))"
     mixed = "CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: {mixed}), 4294967295)"
 
@@ -188,3 +191,136 @@ SELECT doc_id, leaf, subroot, (SELECT digest FROM high WHERE n = 1) AS root, sha
   digest = (SELECT digest FROM high WHERE n = 1) AS verified
 FROM fold WHERE level = height + (SELECT max(level) FROM high)
 """
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows as the contract damages them; a dropped row stays with ``present`` false, so that its conversation does."""
+    text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    code = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    role = F.when(code == 4, "user").otherwise(text("role"))
+    said = F.when(code == 1, "").when(code == 2, F.regexp_replace(text("text"), "[.!?]", "")).otherwise(text("text"))
+    copies = F.array_repeat(code != 0, F.when(code == 3, 2).otherwise(1))
+    return turns.select("conv_id", "turn", role.alias("role"), said.alias("text"), F.explode(copies).alias("present"))
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(damaged(table(spark, sf_dir, "conversations")))
+
+
+def _repair_sql() -> str:
+    """The dynamic program as a recursive query: per row the least of all ways into each of four positions."""
+    far = 1_000_000_000
+
+    def way(p: str, edits: str, cost: str, *lines: str) -> str:
+        said = " || ".join(f"chr(10) || {x}" for x in lines)
+        return f"{{c: {p}.c + {cost}, s: {p}.s || '{edits}', t: {p}.t{' || ' + said if said else ''}}}"
+
+    stays = f"CASE WHEN gone THEN {far} ELSE cut END"
+    keeps = lambda i: f"CASE WHEN gone OR initial <> '{i}' THEN {far} ELSE cut END"
+    named, user, assistant = "role || ':' || text", "'user:' || text", "'assistant:' || text"
+    deleted = lambda p: way(p, "D", "3")
+    u = [deleted("su")]
+    a = [deleted("sa")]
+    for p in ("s0", "s1", "sa"):
+        u += [way(p, "K", keeps("u"), named), way(p, "R", f"2 + {stays}", user)]
+        a += [way(p, "IK", f"2 + {keeps('a')}", "'user:'", named), way(p, "IR", f"4 + {stays}", "'user:'", assistant)]
+    a += [way("su", "K", keeps("a"), named), way("su", "R", f"2 + {stays}", assistant)]
+    u += [way("su", "IK", f"2 + {keeps('u')}", "'assistant:'", named), way("su", "IR", f"4 + {stays}", "'assistant:'", user)]
+    least = lambda ways: f"list_min([{', '.join(ways)}])"
+    system = least([deleted("s1"), way("s0", "K", keeps("s"), named)])
+    ends = least([way("s0", "", "0"), way("s1", "II", "4", "'user:'", "'assistant:'"), way("su", "I", "2", "'assistant:'"), way("sa", "", "0")])
+    unreached = f"{{c: {far}::BIGINT, s: '', t: ''}}"
+    space = r"[^\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS code
+  FROM conversations
+), hurt AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT * FROM given WHERE code <> 0 UNION ALL SELECT * FROM given WHERE code = 3)
+), placed AS (
+  SELECT *, substr(role, 1, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM hurt
+), judged AS (
+  SELECT *, NOT blank AND NOT repeated AND NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS truncated
+  FROM (SELECT *, NOT regexp_matches(text, '{space}') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS repeated,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS former FROM placed)
+), steps AS (
+  SELECT conv_id, i, role, text, initial, blank OR repeated AS gone, CASE WHEN truncated THEN 1 ELSE 0 END AS cut FROM judged
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS i, {{c: 0::BIGINT, s: '', t: ''}} AS s0, {unreached} AS s1, {unreached} AS su, {unreached} AS sa
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, {deleted("s0")}, {system}, {least(u)}, {least(a)}
+  FROM walk w JOIN steps x ON w.conv_id IS NOT DISTINCT FROM x.conv_id AND x.i = w.i + 1
+), ended AS (
+  SELECT conv_id, {ends} AS best FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND repeated) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (former || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, best.c AS cost, best.s AS audit, sha256(substr(best.t, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+ORACLES["op13_turn_repair"] = _repair_sql()
+
+
+@query
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # The held-out third of the labels is not used, as in op1.
+    good = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & ~pu_quality.in_part(F.col("doc_id"))).select("doc_id")
+    judged = quality_rules.judge(docs, quality_rules.weigh(id_and_text(docs), good))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "n_features")
+
+
+_B = quality_rules
+
+ORACLES["op12_quality_rules"] = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS MATERIALIZED (
+  SELECT row, doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d
+), v AS MATERIALIZED (
+  SELECT word, {crc32_sql('word')} AS h FROM (SELECT DISTINCT word FROM w)
+), hashed AS (
+  SELECT row, doc_id, i, h, lead(h) OVER (PARTITION BY row ORDER BY i) AS later FROM w JOIN v USING (word)
+), f AS MATERIALIZED (
+  SELECT row, doc_id, h % {_B.BUCKETS} AS bucket FROM hashed
+  UNION ALL SELECT row, doc_id, (h * {_B.MIX} + later) % {_B.BUCKETS} FROM hashed WHERE later IS NOT NULL
+), good AS (
+  SELECT DISTINCT doc_id, TRUE AS trusted FROM labels WHERE quality = 1 AND {crc32_sql('CAST(doc_id AS VARCHAR)')} % 3 <> 1
+), counts AS (
+  SELECT bucket, count(*) AS raw, count(trusted) AS target FROM f LEFT JOIN good USING (doc_id) GROUP BY bucket
+), weights AS (
+  SELECT bucket, CAST(round({_B.MILLION} * ln((target + 1.0::DOUBLE) / (raw::DOUBLE * (sum(target) OVER ())::DOUBLE / (sum(raw) OVER ())::DOUBLE + 1.0::DOUBLE))) AS BIGINT) AS weight FROM counts
+), sums AS (
+  SELECT row, sum(weight) AS ratio, count(*) AS n_features FROM f JOIN weights USING (bucket) GROUP BY row
+), wins AS (
+  SELECT row, i, array_to_string(list_slice(words, i, i + {_B.WINDOW - 1}), ' ') AS win
+  FROM (SELECT row, words, unnest(range(1, len(words) - {_B.WINDOW - 2})) AS i FROM d)
+), twice AS (
+  SELECT row, i FROM wins QUALIFY count(*) OVER (PARTITION BY row, win) > 1
+), covered AS (
+  SELECT row, sum(least({_B.WINDOW}, coalesce(following - i, {_B.WINDOW}))) AS n
+  FROM (SELECT row, i, lead(i) OVER (PARTITION BY row ORDER BY i) AS following FROM twice) GROUP BY row
+), base AS (
+  SELECT row, doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN covered USING (row)
+), ruled AS (
+  SELECT *, n_words < {_B.LEAST_WORDS} OR 100 * n_repeat_words > {_B.MOST_REPEATED} * n_words AS base_failed FROM base
+)
+SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(ratio, 0) >= {_B.THRESHOLD} AS kept, CAST(coalesce(ratio, 0) AS BIGINT) AS ratio, coalesce(n_features, 0) AS n_features
+FROM ruled LEFT JOIN sums USING (row)
+"""

@@ -30,7 +30,7 @@ def docs(spark):
 
 def test_one_query_per_operator():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and {*QUERIES, "pipeline"} <= set(queries())
+    assert sorted(numbers) == list(range(1, 14)) and {*QUERIES, "pipeline"} <= set(queries())
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
