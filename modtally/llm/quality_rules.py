@@ -39,59 +39,63 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE), "")
 
 
-def _pairs(values: Column, apart: int, f) -> Column:
-    """``f`` of every value and the one ``apart`` places after it."""
-    later = F.slice(values, apart + 1, F.size(values))
-    return F.slice(F.zip_with(values, later, f), 1, F.greatest(F.size(values) - apart, F.lit(0)))
+def _pairs(name: str, apart: int, f) -> Column:
+    """``f`` of every value of an array column and the one ``apart`` places after it.
 
+    The array is named, never an expression: it stands here three times, and an expression would be worked out each time.
+    """
+    later = F.slice(name, apart + 1, F.size(name))
+    return F.slice(F.zip_with(name, later, f), 1, F.greatest(F.size(name) - apart, F.lit(0)))
 
-def windows(word_list: Column) -> Column:
-    """Hash of every window of ``WINDOW`` words, by doubling."""
-    hashed = F.transform(word_list, lambda w: F.xxhash64(w))
+
+def with_windows(docs: DataFrame) -> DataFrame:
+    """Add ``_hashes``, the hash of every window of ``WINDOW`` of the column ``words``, by doubling."""
+    docs = docs.withColumn("_hashes", F.transform("words", lambda w: F.xxhash64(w)))
     apart = 1
     while apart < WINDOW:
-        hashed = _pairs(hashed, apart, lambda a, b: F.xxhash64(a, b))
+        docs = docs.withColumn("_hashes", _pairs("_hashes", apart, lambda a, b: F.xxhash64(a, b)))
         apart *= 2
-    return hashed
+    return docs
 
 
-def repeat_places(word_list: Column, hashes: Column) -> Column:
-    """Starts of the windows whose words occur at another place too, in order."""
-    placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    said = lambda at: F.slice(word_list, at + 1, F.lit(WINDOW))
+def with_repeat_places(docs: DataFrame) -> DataFrame:
+    """Add ``_again``: starts of the windows whose words occur at another place of the text too, in order."""
+    repeated = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
+    placed = F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    docs = docs.withColumn("_placed", F.when(repeated, placed))
+    said = lambda at: F.slice("words", at + 1, F.lit(WINDOW))
     # Equal hashes lie side by side; the words themselves decide.
-    twins = _pairs(placed, 1, lambda a, b: F.when((a["h"] == b["h"]) & (said(a["i"]) == said(b["i"])), F.array(a["i"], b["i"])))
-    return F.array_sort(F.array_distinct(F.flatten(F.filter(twins, lambda x: x.isNotNull()))))
+    twins = _pairs("_placed", 1, lambda a, b: F.when((a["h"] == b["h"]) & (said(a["i"]) == said(b["i"])), F.array(a["i"], b["i"])))
+    return docs.withColumn("_again", F.sort_array(F.array_distinct(F.flatten(F.filter(twins, lambda x: x.isNotNull())))))
 
 
 def covered(starts: Column) -> Column:
-    """Words under the windows that begin at ``starts``, which are in order."""
+    """Words under the windows that begin at ``starts``, which are in order; 0 for null."""
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
     step = lambda acc, s: F.struct((s + WINDOW).alias("end"), (acc["n"] + s + WINDOW - F.greatest(acc["end"], s)).alias("n"))
-    return F.aggregate(starts, zero, step, lambda acc: acc["n"])
+    return F.coalesce(F.aggregate(starts, zero, step, lambda acc: acc["n"]), F.lit(0))
 
 
-def features(word_list: Column) -> Column:
-    """Buckets of all one- and two-word features."""
-    hashed = F.transform(word_list, lambda w: F.crc32(w.cast("binary")))
-    one = F.transform(hashed, lambda a: (a % BUCKETS).cast("int"))
-    return F.concat(one, _pairs(hashed, 1, lambda a, b: ((a * MIX + b) % BUCKETS).cast("int")))
+def with_features(docs: DataFrame) -> DataFrame:
+    """Add ``_features``, the buckets of all one- and two-word features of the column ``words``."""
+    docs = docs.withColumn("_codes", F.transform("words", lambda w: F.crc32(w.cast("binary"))))
+    one = F.transform("_codes", lambda a: (a % BUCKETS).cast("int"))
+    return docs.withColumn("_features", F.concat(one, _pairs("_codes", 1, lambda a, b: ((a * MIX + b) % BUCKETS).cast("int")))).drop("_codes")
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
-    """``doc_id, text`` with ``words`` and the base figures of every row."""
-    split = docs.withColumn("words", words(F.col("text"))).withColumn("_hashes", windows(F.col("words")))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(VISIBLE))
-    n, long = F.size("words"), lambda c: c.cast("long")
-    again = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
+    """``doc_id, words`` with the base figures of every row of ``doc_id, text``."""
+    split = with_repeat_places(with_windows(docs.withColumn("words", words(F.col("text")))))
+    split = split.withColumn("_lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(VISIBLE)))
+    long = lambda c: c.cast("long")
     counted = split.select(
         "doc_id",
         "words",
-        long(n).alias("n_words"),
+        long(F.size("words")).alias("n_words"),
         long(F.char_length(F.array_join("words", ""))).alias("word_chars"),
         long(F.char_length("text") - F.char_length(F.regexp_replace("text", MARKS, ""))).alias("n_symbols"),
-        long(F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
-        long(F.when(again, covered(repeat_places(F.col("words"), F.col("_hashes")))).otherwise(0)).alias("n_repeat_words"),
+        long(F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("n_dup_lines"),
+        long(covered(F.col("_again"))).alias("n_repeat_words"),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return counted.withColumn("base_failed", failed)
@@ -106,7 +110,7 @@ def trusted_ids(ids: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
 def weigh(docs: DataFrame, good: DataFrame, most_trusted: int = MOST_TRUSTED) -> DataFrame:
     """``bucket, weight`` from all rows of ``docs`` (``doc_id, text``) and the trusted ids ``good``; at most ``BUCKETS`` rows."""
     flagged = docs.join(F.broadcast(trusted_ids(good, most_trusted)), "doc_id", "left")
-    seen = flagged.select("trusted", F.explode(features(words(F.col("text")))).alias("bucket"))
+    seen = with_features(flagged.select("trusted", words(F.col("text")).alias("words"))).select("trusted", F.explode("_features").alias("bucket"))
     counts = seen.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
     counts = write_shared(counts, "rule-counts")
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
@@ -120,7 +124,7 @@ def weigh(docs: DataFrame, good: DataFrame, most_trusted: int = MOST_TRUSTED) ->
 def judge(docs: DataFrame, weights: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: base figures, ``base_failed``, ``ratio`` (sum of weights), ``n_features`` and ``kept``."""
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    figures = base_rules(id_and_text(docs, id_col, text_col)).select(F.monotonically_increasing_id().alias("_row"), *base, features(F.col("words")).alias("_features"))
+    figures = with_features(base_rules(id_and_text(docs, id_col, text_col))).withColumn("_row", F.monotonically_increasing_id())
     rows = figures.select("_row", *base, F.explode_outer("_features").alias("bucket"))
     # The features of a row are summed in the task that made them; one short row per document is shuffled.
     summed = (
