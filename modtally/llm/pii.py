@@ -2,11 +2,14 @@
 
 Base kinds, leftmost and non-overlapping within a kind: ``email``, ``ip`` (parts at most 255),
 ``card`` (16 to 19 digits passing Luhn), ``phone`` (8 to 15 digits). A match that fails its
-check is dropped and not tried again at another place. Added kinds: ``iban`` (mod-97) and
-``ssn``; an added span must reach ``threshold`` and not overlap a base span. Base spans are
+check is dropped and not tried again at another place. Added kinds: ``iban`` (mod-97; cut at the length
+of its country, elsewhere shorter ends are tried at group ends, longest first), ``ssn`` (areas and groups that are
+given out) and ``aba`` (routing numbers of nine digits with their checksum, near a word that
+supports them); an added span must reach ``threshold`` and not overlap a base span. Base spans are
 never removed; their score tells how sure they are.
 
-Offsets are code points, the end is exclusive. Null texts count as empty and have no spans.
+Offsets are code points, the end is exclusive. Null texts count as empty and have no spans. Repeated
+rows are searched each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame
 from .frames import id_and_text, over_rows, over_texts
 
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("iban", "ssn")
+ADDED = ("iban", "ssn", "aba")
 KINDS = BASE + ADDED
 
 # The patterns of the base kinds.
@@ -32,11 +35,20 @@ EMAIL_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
-SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+ABA = re.compile(r"(?<![0-9A-Za-z-])(?:0[0-9]|1[0-2]|2[1-9]|3[0-2]|6[1-9]|7[0-2]|80)[0-9]{7}(?![0-9A-Za-z-])")
+# Length of an IBAN by country.
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "CH": 21, "CR": 22, "CY": 28, "CZ": 24,
+    "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27,
+    "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "XK": 20,
+}
 
 # Score before context: what the pattern and its checksum alone are worth.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.4}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.4, "aba": 0.3}
 # Words within CONTEXT code points of a span that make its kind likelier or less likely.
 CONTEXT = 40
 SUPPORT = {
@@ -46,6 +58,7 @@ SUPPORT = {
     "phone": ("phone", "tel", "call", "mobile", "fax", "cell"),
     "iban": ("iban", "bank", "account", "transfer", "konto", "cuenta", "compte"),
     "ssn": ("ssn", "social", "security", "tax"),
+    "aba": ("aba", "routing", "bank", "rtn"),
 }
 AGAINST = ("version", "build", "order", "invoice", "isbn", "part", "serial", "sku")
 UP, DOWN = 0.2, 0.3
@@ -68,6 +81,32 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def routing(digits: str) -> bool:
+    return sum(int(d) * w for d, w in zip(digits, (3, 7, 1) * 3, strict=True)) % 10 == 0
+
+
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Valid account numbers. A match runs into upper-case words after it, so it is cut where its country says, else at shorter ends."""
+    found, at = [], 0
+    while match := IBAN.search(text, at):
+        start, end = match.span()
+        plain = [i for i in range(start, end) if text[i] != " "]
+        length = IBAN_LENGTH.get(text[start : start + 2])
+        # Without a known length: the ends of groups, longest first.
+        sizes = [length] if length else [n for n in range(len(plain), 14, -1) if n == len(plain) or plain[n] > plain[n - 1] + 1]
+        good = None
+        for n in sizes:
+            if n <= len(plain):
+                stop = plain[n - 1] + 1
+                if not text[stop : stop + 1].isalnum() and mod97(text[start:stop]):
+                    good = stop
+                    break
+        if good:
+            found.append((start, good))
+        at = good or start + 2
+    return found
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """The matches of ``local@label(.label)+``, found from each ``@``: no part before it can hold another."""
     found, free, at = [], 0, text.find("@")
@@ -116,8 +155,9 @@ def find_spans(text: str, threshold: float = 0.5) -> list[tuple[str, int, int, f
         before = bisect.bisect_left(taken, (e,))
         return not before or reach[before - 1] <= s
 
-    proposed = [("iban", m.span()) for m in IBAN.finditer(text) if mod97(m.group())]
+    proposed = [("iban", s) for s in ibans(text)]
     proposed += [("ssn", m.span()) for m in SSN.finditer(text)]
+    proposed += [("aba", m.span()) for m in ABA.finditer(text) if routing(m.group())]
     for kind, (s, e) in proposed:
         if free(s, e) and (score := score_of(text, kind, s, e)) >= threshold:
             spans.append((kind, s, e, score))

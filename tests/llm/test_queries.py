@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 import re
 import zlib
 
@@ -133,3 +134,19 @@ def test_stages_keep_the_columns(spark):
         assert out.count() <= odd.count()
         assert stage(spark, odd.limit(0), DIR).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, odd, DIR).count() == odd.count()
+
+
+def test_texts_of_one_id_are_not_lost(spark):
+    """A third of all rows share one id, some have none: every text stays that is near no other, and the same ones in two runs."""
+    rng = random.Random(3)
+    prose = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    one = prose(40)
+    rows = [(7, prose(30), "a") for _ in range(20)] + [(7, one, x) for x in "cba"] + [(None, prose(30), "a") for _ in range(5)] + [(None, None, "n")]
+    rows += [(100 + i, prose(30), "a") for i in range(20)] + [(90, one + " end", "z")]
+    stages = dict(corpus_pipeline.STAGES)
+    runs = []
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        runs.append(sorted(map(tuple, stages["near_duplicates"](spark, docs, DIR).collect()), key=repr))
+    # The copies under id 7 are near the document 90, which has an id of its own.
+    assert runs[0] == runs[1] == sorted([r for r in rows if r[1] != one], key=repr)

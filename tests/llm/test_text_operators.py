@@ -54,6 +54,19 @@ def test_added_spans_and_context():
     assert [s[0] for s in pii.find_spans(f"my iban {iban}.")] == ["iban"]
     assert pii.find_spans("my iban DE88 3704 0044 0532 0130 00.") == []
     assert [s[0] for s in pii.find_spans("social security 123-45-6789")] == ["ssn"]
+    assert not any(pii.find_spans(f"social security {n}") for n in ("000-12-3456", "666-12-3456", "912-12-3456", "123-00-4567", "123-45-0000"))
+    assert [s[0] for s in pii.find_spans("routing number 021000021")] == ["aba"]
+    assert not pii.find_spans("routing number 021000022") and not pii.find_spans("some 021000021 things")
+    # Upper-case words after a number are not part of it, with and without a known country.
+    for text, end in [
+        ("GB82 WEST 1234 5698 7654 32 PLEASE PAY", 27),
+        ("GB82 WEST 1234 5698 7654 32 please", 27),
+        ("DE89370400440532013000 EUR", 22),
+        ("DE89 3704 0044 0532 0130 00 AND", 27),
+        ("ZZ22 3704 0044 0532 0130 00 AND MORE", 27),
+    ]:
+        assert [s[:3] for s in pii.find_spans(text)] == [("iban", 0, end)], text
+    assert not pii.find_spans("GB82 WEST 1234 5698 7654 33 PLEASE") and not pii.find_spans("DE89370400440532013000X")
     assert pii.find_spans("part 123-45-6789 of the order") == []
     card = lambda t: next(s[3] for s in pii.find_spans(t) if s[0] == "card")
     assert card("visa 4111111111111111") > card("xx 4111111111111111") > card("order 4111111111111111")
