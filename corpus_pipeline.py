@@ -18,6 +18,8 @@ from modtally.llm.queries import PIECE_MODEL, table
 
 # Near-duplicates: words of a shingle and least similarity in percent.
 SHINGLE, SIMILAR = 5, 80
+# Keys of documents without an id of their own begin here.
+KEY = 1 << 62
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,11 +30,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of least id of every near-duplicate group, one row of it; rows without an id stay."""
-    found = superminhash.near_duplicates(docs, SHINGLE, SIMILAR).where("not kept").select("doc_id").distinct()
-    kept = docs.join(found.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
-    named, nameless = kept.where("doc_id is not null"), kept.where("doc_id is null")
-    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
+    """Keep the document of least id of every near-duplicate group.
+
+    Rows that share an id, or have none, are documents of their own by their texts: each text stays
+    unless it is near another one, and of rows with equal id and text the least by all columns stays.
+    """
+    repeated = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id")
+    if repeated.isEmpty():
+        return _least_of_groups(docs, "doc_id")
+    repeated = write_shared(repeated, "repeated-ids")
+    odd = F.coalesce("_odd", F.lit(False)) | F.col("doc_id").isNull()
+    # Above all ids: of a group with plain documents one of these stays.
+    own = F.xxhash64("doc_id", "text").bitwiseAND(KEY - 1).bitwiseOR(KEY)
+    marked = docs.join(repeated.withColumn("_odd", F.lit(True)).hint("shuffle_hash"), "doc_id", "left").select(
+        *docs.columns, odd.alias("_odd"), F.when(odd, own).otherwise(F.col("doc_id")).alias("_key")
+    )
+    keyed = write_shared(marked, "keyed")
+    plain = keyed.where("not _odd").drop("_odd")
+    # A copied row is one group however often it occurs, and combines before the shuffle.
+    least = keyed.where("_odd").groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*", "_key")
+    return _least_of_groups(plain.unionByName(least), "_key").select(docs.columns)
+
+
+def _least_of_groups(docs: DataFrame, key: str) -> DataFrame:
+    found = superminhash.near_duplicates(docs, SHINGLE, SIMILAR, id_col=key).where("not kept").select(F.col("doc_id").alias(key))
+    return docs.join(found.hint("shuffle_hash"), key, "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
