@@ -329,6 +329,14 @@ SELECT file, o_orderkey FROM (
          row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderkey) AS n FROM orders) WHERE n <= 40""",
     "scan_gz": _SLIM_COMMENTS,
     "scan_bz2": _SLIM_COMMENTS,
+    "broken_dump_files": f"""WITH {POSTS}, months AS (
+  SELECT month, count(*) AS items, CAST(substr(month, 6) AS INT) % 3 = 0 OR CAST(substr(month, 6) AS INT) % 5 = 0 AS broken FROM post_items GROUP BY month)
+SELECT 'RS_' || month AS base, CASE WHEN broken THEN 'broken' ELSE 'ready' END AS status,
+  CASE WHEN broken THEN 0 ELSE items END AS items, CASE WHEN broken THEN 1 ELSE 0 END AS logged FROM months""",
+    "scan_frames": f"WITH {POSTS} SELECT month, {SLIM} FROM post_items",
+    "stopped_and_resumed": f"WITH {POST_BLOCKS} SELECT type, month, {BLOCK} FROM post_blocks",
+    "merge_incremental": _MERGED_POSTS,
+    "merge_replaced_month": _MERGED_POSTS,
     "scan_zst": _SLIM_COMMENTS,
     "scan_xz": _SLIM_COMMENTS,
     "slim_csv_roundtrip": f"WITH {POSTS} SELECT type, month, {SLIM} FROM post_items",

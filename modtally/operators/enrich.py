@@ -10,7 +10,7 @@ from ..functions.text import REMOVED, is_placeholder
 from ..schemas import EXTRA_FIELDS
 from ..session import materialise
 from .narrow import rows_with_ids
-from .slim import rejected_files
+from .slim import unusable_files
 
 # Bodies stored before this time were fetched while they were still
 # available; a stored row without a time counts as newer than any.
@@ -62,7 +62,7 @@ def stored_versions(classified: DataFrame, item_type: str) -> DataFrame:
     usable = classified.where((F.col("type") == item_type) & (F.col("outcome") == "keep"))
     if item_type == "posts":
         # A rejected file contributes no text either; at most one name per file.
-        usable = usable.join(F.broadcast(rejected_files(classified)), "file", "left_anti")
+        usable = usable.join(F.broadcast(unusable_files(classified)), "file", "left_anti")
     return usable.select("id", *EXTRA_FIELDS[item_type], "pos")
 
 

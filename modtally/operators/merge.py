@@ -19,6 +19,7 @@ def _neighbours_by_window(blocks: DataFrame, keys: list[str], order: list[Column
         {
             "_prev": F.lag(F.when(full, F.struct(*_MERGED))).over(window),
             "_next_short": F.coalesce(F.lead(short).over(window), F.lit(False)),
+            "_last": F.lead(F.lit(True)).over(window).isNull(),
         }
     )
 
@@ -34,11 +35,14 @@ def _neighbours_by_position(blocks: DataFrame, keys: list[str], order: list[Colu
     following = numbered.where(short).select(
         *keys, (F.col("_position") - 1).alias("_position"), F.lit(True).alias("_next_short")
     )
+    # One row per large community.
+    ends = numbered.groupBy(*keys).agg(F.max("_position").alias("_end"))
     return (
         numbered.join(previous, on, "left")
         .join(following, on, "left")
-        .withColumn("_next_short", F.coalesce("_next_short", F.lit(False)))
-        .drop("_position")
+        .join(F.broadcast(ends), keys)
+        .withColumns({"_next_short": F.coalesce("_next_short", F.lit(False)), "_last": F.col("_position") == F.col("_end")})
+        .drop("_position", "_end")
     )
 
 
@@ -58,37 +62,54 @@ def _combined(field: str) -> Column:
     return own + earlier
 
 
-def merge_short_tails(
-    blocks: DataFrame,
-    min_rows: int = 500,
-    n_rows: int = 1000,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Join all months of a community and merge each block of fewer than ``min_rows``
-    items that directly follows a full block into that block.
+def merge_rows(blocks: DataFrame, min_rows: int, n_rows: int, max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Merged blocks under their community's exact name, with what a later merge needs to go on.
 
-    A merged block never absorbs another: the block after it follows a short one. So a
-    look at the direct neighbours is enough, provided ``min_rows <= n_rows``.
+    ``_time, _month, _id``: the order key of the row's own block. ``_last``: nothing of the
+    community follows. ``_open``: it is a full block and last, so a later short one would merge into it.
     """
     if min_rows > n_rows:
         raise ValueError(f"min_rows ({min_rows}) must not exceed n_rows ({n_rows})")
     extra = [c for c in ("type",) if c in blocks.columns]
     keys = [*extra, "subreddit"]
+    month = F.col("month") if "month" in blocks.columns else F.lit(None).cast("string")
     # Equal times keep dump order: month first, then the id.
-    order = [F.col("last_created_utc"), *(F.col(c) for c in ("month",) if c in blocks.columns), id_to_int(F.col("last_id"))]
+    keyed = blocks.withColumns({"_time": F.col("last_created_utc"), "_month": month, "_id": id_to_int(F.col("last_id"))})
+    order = [F.col("_time"), F.col("_month"), F.col("_id")]
     short, full = F.col("total_items") < min_rows, F.col("total_items") == n_rows
 
-    large = None if max_group_rows is None else large_groups(blocks, keys, max_group_rows)
+    large = None if max_group_rows is None else large_groups(keyed, keys, max_group_rows)
     if large is None:
-        placed = _neighbours_by_window(blocks, keys, order, short, full)
+        placed = _neighbours_by_window(keyed, keys, order, short, full)
     else:
-        small_rows, large_rows = split_by_size(blocks, keys, large)
+        small_rows, large_rows = split_by_size(keyed, keys, large)
         placed = _neighbours_by_window(small_rows, keys, order, short, full).unionByName(
             _neighbours_by_position(large_rows, keys, order, short, full)
         )
     merges = short & F.col("_prev").isNotNull()
     return placed.where(~(full & F.col("_next_short"))).select(
-        *extra,
-        F.lower("subreddit").alias("subreddit"),
+        *keys,
         *(F.when(merges, _combined(c)).otherwise(F.col(c)).alias(c) for c in _MERGED),
+        "_time",
+        "_month",
+        "_id",
+        "_last",
+        (F.col("_last") & full).alias("_open"),
     )
+
+
+def merge_short_tails(
+    blocks: DataFrame,
+    min_rows: int = 500,
+    n_rows: int = 1000,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Join all months of a community and merge each block of fewer than ``min_rows``
+    items that directly follows a full block into that block.
+
+    A merged block never absorbs another: the block after it follows a short one. So a
+    look at the direct neighbours is enough, provided ``min_rows <= n_rows``.
+    """
+    extra = [c for c in ("type",) if c in blocks.columns]
+    merged = merge_rows(blocks, min_rows, n_rows, max_group_rows)
+    return merged.select(*extra, F.lower("subreddit").alias("subreddit"), *_MERGED)

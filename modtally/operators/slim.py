@@ -53,13 +53,17 @@ def _is_id(text: Column) -> Column:
 def classify(lines: DataFrame) -> DataFrame:
     """Parse lines (``value, type`` and any further columns) and decide what becomes of each.
 
+    A row with an ``error`` stands for a file that could not be read to its end.
+
     Adds the slim columns, the text keys as they stand, ``outcome`` and ``reason``:
 
     ``keep``        a slim item
     ``ignore``      an advert or profile record without the usual keys
     ``reject_file`` a post without either removal flag: its whole file is unusable
+    ``broken_file`` the whole file is damaged or cut short
     ``quarantine``  not an item; ``reason`` tells why
     """
+    error = F.col("error") if "error" in lines.columns else F.lit(None).cast("string")
     # Exploding the one parsed object keeps the parse below later filters: each line is
     # parsed once, however many conditions look at the result.
     parsed_line = F.from_json("value", _RAW, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
@@ -92,7 +96,8 @@ def classify(lines: DataFrame) -> DataFrame:
         | (_value("score").isNotNull() & score.isNull())
     )
     reason = (
-        F.when(F.col("x").isNull() | _value("_bad").isNotNull(), "malformed")
+        F.when(error.isNotNull(), error)
+        .when(F.col("x").isNull() | _value("_bad").isNotNull(), "malformed")
         .when(comment & _value("body").isNull(), "no body")
         .when((~comment | body_removed) & _value("author").isNull(), "no author")
         .when(~comment & no_flag, "no removal flag")
@@ -101,12 +106,13 @@ def classify(lines: DataFrame) -> DataFrame:
         .when(bad_value, "bad value")
     )
     outcome = (
-        F.when(F.col("reason").isNull(), "keep")
+        F.when(error.isNotNull(), "broken_file")
+        .when(F.col("reason").isNull(), "keep")
         .when(F.col("reason") == "ignorable", "ignore")
         .when(F.col("reason") == "no removal flag", "reject_file")
         .otherwise("quarantine")
     )
-    rest = [c for c in lines.columns if c != "value"]
+    rest = [c for c in lines.columns if c not in ("value", "error")]
     return (
         parsed.withColumn("reason", reason)
         .select(
@@ -129,8 +135,18 @@ def rejected_files(classified: DataFrame) -> DataFrame:
     return classified.where("type = 'posts' AND outcome = 'reject_file'").select("file").distinct()
 
 
+def broken_files(classified: DataFrame) -> DataFrame:
+    """Files that could not be read to their end, with the reason: ``file, type, month, reason``."""
+    return classified.where("outcome = 'broken_file'").groupBy("file", "type", "month").agg(F.min("reason").alias("reason"))
+
+
+def unusable_files(classified: DataFrame) -> DataFrame:
+    """Files of which nothing is used: rejected and broken ones."""
+    return rejected_files(classified).union(broken_files(classified).select("file"))
+
+
 def kept_items(classified: DataFrame, strict: bool = False) -> DataFrame:
-    """Slim items of the files that are not rejected.
+    """Slim items of the files that are neither rejected nor broken.
 
     ``strict`` fails the job on the first quarantined line instead of leaving it out.
     """
@@ -140,7 +156,7 @@ def kept_items(classified: DataFrame, strict: bool = False) -> DataFrame:
             "outcome", F.when(F.col("outcome") == "quarantine", F.raise_error(message)).otherwise(F.col("outcome"))
         )
     # At most one row per dump file, so the names always fit every executor.
-    usable = classified.join(F.broadcast(rejected_files(classified)), "file", "left_anti")
+    usable = classified.join(F.broadcast(unusable_files(classified)), "file", "left_anti")
     return usable.where("outcome = 'keep'").select(*SLIM.fieldNames(), "type", "month", "pos")
 
 

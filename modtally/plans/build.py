@@ -1,7 +1,9 @@
 """The batch job: raw dumps -> slim items -> blocks -> merged blocks -> enriched tables.
 
 Every stage writes a table and the next one reads it, so no dump is parsed twice and a
-lost executor never costs more than the running stage.
+lost executor never costs more than the running stage. A stage writes beside what is there and
+switches by one entry in the log of finished work (``sources.runs``), so a job may be stopped
+anywhere: the next plain build goes on and gives what an undisturbed one gives.
 """
 
 from __future__ import annotations
@@ -14,13 +16,14 @@ from pyspark.sql import functions as F
 from ..operators.blocks import aggregate_blocks
 from ..operators.constraints import check_unique
 from ..operators.enrich import enrich, extend_inaccessible, stored_versions
-from ..operators.merge import merge_short_tails
 from ..operators.ordering import MAX_GROUP_ROWS
-from ..operators.slim import classify, kept_items, quarantined, rejected_files
-from ..schemas import CLASSIFIED, DONE, ID_LIST, ITEM_TYPES
+from ..operators.slim import broken_files, classify, kept_items, quarantined, rejected_files
+from ..schemas import CLASSIFIED, ID_LIST, ITEM_TYPES
 from ..sources import tables as io
-from ..sources.dumps import decode_lines, judge_files, list_files, read_dumps, readable_files
+from ..sources.dumps import broken_ends, broken_inside, decode_lines, judge_files, list_files, mark_broken, read_dumps, readable_files
+from ..sources.runs import log_done, next_run, read_done, read_monthly, sweep, write_run
 from ..streaming.incremental import pending_months, table_exists
+from . import merged as merging
 from . import publish as publication
 
 
@@ -55,25 +58,20 @@ class Settings:
 TEST_SETTINGS = Settings(n_rows=100, min_rows=50, max_lines=100_000, force=True)
 
 
-def read_done(spark: SparkSession, out: str, stage: str) -> DataFrame:
-    """Newest entries of a stage in the log of finished work: a row per file, or per month.
-
-    A month's entries of one run replace those of earlier runs. The log holds a few short
-    rows per dump, so it is small however large the data are.
-    """
-    path = f"{out}/done"
-    log = spark.read.schema(DONE).parquet(path) if table_exists(spark, path) else spark.createDataFrame([], DONE)
-    log = log.where(F.col("stage") == stage)
-    newest = log.groupBy("type", "month").agg(F.max("run").alias("run"))
-    return log.join(newest, ["type", "month", "run"], "left_semi").drop("stage")
+STAGE_TABLES = ("classified", "slim", "quarantine")
+# What the log says of an unusable file, after the settings it was read with.
+BROKEN, REJECTED = " | broken=", " | rejected"
 
 
-def log_done(spark: SparkSession, out: str, stage: str, rows: list[tuple]) -> None:
-    """Add rows ``type, month, name, size, detail`` under the next run number."""
-    path = f"{out}/done"
-    last = spark.read.schema(DONE).parquet(path).agg(F.max("run")).first()[0] if table_exists(spark, path) else None
-    run = (last or 0) + 1
-    spark.createDataFrame([(stage, *r, run) for r in rows], DONE).coalesce(1).write.mode("append").parquet(path)
+def _name_unusable(spark: SparkSession, out: str, done: DataFrame) -> None:
+    """Name rejected and broken files in their logs; what the log of finished work says is added here, at once or in the next run."""
+    for mark, log in ((REJECTED, f"{out}/unusable_files"), (BROKEN, f"{out}/broken_files")):
+        # One name per unusable file.
+        names = {r.name.rpartition(".")[0] for r in done.where(F.contains("detail", F.lit(mark))).select("name").collect()}
+        if names and table_exists(spark, log):
+            names -= {r.basename for r in io.read_names(spark, log).collect()}
+        if names:
+            io.append_names(spark.createDataFrame([(n,) for n in sorted(names)], "basename string"), log)
 
 
 def ingest(
@@ -84,37 +82,70 @@ def ingest(
     skip: DataFrame | None = None,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Stage 1. Returns the judged file list; writes ``slim``, ``classified`` and the file log.
+    """Stage 1. Returns the judged file list; writes ``slim``, ``classified`` and the file logs.
 
     A month is read when one of its readable files is new, has another size, or was last
     read with other settings; then all its readable files are read and its rows replaced.
+    A file that is damaged or cut short gives no item and costs no other file anything: it
+    has status ``broken`` until its size changes, and stands in the log ``broken_files``.
     """
+    done = read_done(spark, out, "slim")
+    _name_unusable(spark, out, done)
     judged = judge_files(list_files(spark, raw), manifest, skip)
     log = f"{out}/unusable_files"
     if table_exists(spark, log):
         judged = judged.join(io.read_names(spark, log).select(F.col("basename").alias("base")), "base", "left_anti")
+    if not settings.force:
+        judged = mark_broken(judged, done.where(F.contains("detail", F.lit(BROKEN))))
     readable = readable_files(judged)
-    done = read_done(spark, out, "slim")
     if not settings.force:
-        same = done.where(F.col("detail") == settings.reading).select("type", "month", "name", "size")
+        same = done.where(F.substring_index("detail", " | ", 1) == settings.reading).select("type", "month", "name", "size")
         readable = readable.join(pending_months(readable.join(same, ["type", "month", "name", "size"], "left_anti"), None), ["type", "month"], "left_semi")
     # A scan needs its paths; the list has one entry per dump.
     todo = readable.select("type", "month", "path", "name", "size").collect()
     if not todo:
+        sweep(spark, out, STAGE_TABLES)
         return judged
-    pairs = sorted({(r.type, r.month) for r in todo})
-
-    lines = decode_lines(read_dumps(spark, [r.path for r in todo], settings.max_lines), settings.whole_file)
-    io.write_by_month(classify(lines), f"{out}/classified", pairs=pairs)
-    classified = read_classified(spark, out, pairs)
-    io.write_by_month(kept_items(classified, settings.strict), f"{out}/slim", pairs=pairs)
-    io.write_by_month(quarantined(classified), f"{out}/quarantine", rebalance=True, pairs=pairs)
-    names = rejected_files(classified).select(F.regexp_extract("file", r"([^/]*)\.[^.]*$", 1).alias("basename"))
-    io.append_names(names, log, io.read_names(spark, log) if table_exists(spark, log) else None)
-    log_done(spark, out, "slim", [(r.type, r.month, r.name, r.size, settings.reading) for r in todo])
+    months = sorted({(r.type, r.month) for r in todo})
+    known = judged.where("status = 'broken'").select("type", "month", "name", "size").collect()
+
+    run = next_run(spark, out)
+    paths = [r.path for r in todo]
+    classified = _write_classified(spark, out, paths, run, months, settings)
+    write_run(kept_items(classified, settings.strict), f"{out}/slim", run, months)
+    write_run(quarantined(classified), f"{out}/quarantine", run, months, rebalance=True)
+    # One row per unusable file.
+    marks = {r.file.rsplit("/", 1)[-1]: BROKEN + r.reason for r in broken_files(classified).collect()}
+    marks |= {r.file.rsplit("/", 1)[-1]: REJECTED for r in rejected_files(classified).collect()}
+    entries = [(r.type, r.month, r.name, r.size, settings.reading + marks.get(r.name, "")) for r in todo]
+    # Files found broken before stay known when their month is read again without them.
+    entries += [(r.type, r.month, r.name, r.size, f"{settings.reading}{BROKEN}before") for r in known if (r.type, r.month) in set(months)]
+    log_done(spark, out, "slim", entries, run)
+    _name_unusable(spark, out, read_done(spark, out, "slim"))
+    sweep(spark, out, STAGE_TABLES)
     return judged
 
 
+def _write_classified(spark: SparkSession, out: str, paths: list[str], run: int, months: list[tuple[str, str]], settings: Settings) -> DataFrame:
+    """Parse the dumps once and write every line with its outcome."""
+    broken = {} if settings.max_lines else broken_ends(spark, paths)
+
+    def write() -> None:
+        lines = decode_lines(read_dumps(spark, paths, settings.max_lines, broken=broken), settings.whole_file)
+        write_run(classify(lines), f"{out}/classified", run, months)
+
+    try:
+        write()
+    except Exception:
+        # The JVM's decoders fail the job on a damaged file; all such files are looked for at once.
+        found = broken_inside(spark, [p for p in paths if p not in broken])
+        if not found:
+            raise
+        broken.update(found)
+        write()
+    return io.read_classified_run(spark, out, run, months)
+
+
 def _only(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Literal months reach the scan as partition filters."""
     wanted = F.lit(False)
@@ -127,9 +158,7 @@ def _only(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
 def read_classified(spark: SparkSession, out: str, pairs: list[tuple[str, str]] | None = None) -> DataFrame:
     """Every parsed line with its outcome; the columns are pruned by whoever reads it."""
-    path = f"{out}/classified"
-    df = spark.read.schema(CLASSIFIED).parquet(path)
-    return df if pairs is None else _only(df, pairs)
+    return read_monthly(spark, f"{out}/classified", CLASSIFIED, months=pairs)
 
 
 def build_blocks(spark: SparkSession, out: str, settings: Settings = Settings()) -> None:
@@ -142,27 +171,19 @@ def build_blocks(spark: SparkSession, out: str, settings: Settings = Settings())
     todo = months.collect()
     pairs = sorted((r.type, r.month) for r in todo)
     if not pairs:
+        sweep(spark, out, ("blocks",))
         return
+    run = next_run(spark, out)
     slim = _only(io.read_slim(spark, f"{out}/slim"), pairs)
     blocks = aggregate_blocks(slim, settings.n_rows, settings.dropna, settings.max_group_rows)
-    io.write_by_month(blocks, f"{out}/blocks", rebalance=True, pairs=pairs)
-    log_done(spark, out, "blocks", [(r.type, r.month, None, None, r.detail) for r in todo])
+    write_run(blocks, f"{out}/blocks", run, pairs, rebalance=True)
+    log_done(spark, out, "blocks", [(r.type, r.month, None, None, r.detail) for r in todo], run)
+    sweep(spark, out, ("blocks",))
 
 
 def build_merged(spark: SparkSession, out: str, settings: Settings = Settings()) -> DataFrame:
-    """Stage 3: one block table per type over all months, unless it holds the newest blocks already."""
-    path = f"{out}/merged"
-    newest = read_done(spark, out, "blocks").agg(F.max("run")).first()[0] or 0
-    detail = f"{settings.merging} of={newest}"
-    made = read_done(spark, out, "merged").where(F.col("detail") == detail)
-    if not settings.force and not made.isEmpty():
-        return spark.read.parquet(path)
-    blocks = io.read_blocks(spark, f"{out}/blocks")
-    merge_short_tails(blocks, settings.min_rows, settings.n_rows, settings.max_group_rows).write.mode(
-        "overwrite"
-    ).partitionBy("type").parquet(path)
-    log_done(spark, out, "merged", [("all", "all", None, None, detail)])
-    return spark.read.parquet(path)
+    """Stage 3: one block table per type over all months; only new months are read where that is enough."""
+    return merging.update(spark, out, settings.merging, settings.min_rows, settings.n_rows, settings.max_group_rows, settings.force)
 
 
 def stored_inaccessible(spark: SparkSession, out: str, version: int | None) -> dict[str, DataFrame]:
@@ -187,7 +208,7 @@ def build_tables(
     names the months read since the live tables were made: texts are looked up there, and
     in older months only for ids that no earlier build asked for.
     """
-    merged = spark.read.parquet(f"{out}/merged")
+    merged = merging.read_merged(spark, out)
     inaccessible = inaccessible or {}
     tables: dict[str, DataFrame] = {}
     for item_type in ITEM_TYPES:

@@ -6,11 +6,13 @@ import json
 import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import with_name_parts
 from ..functions.names import EXTENSIONS, file_name
+from .archives import ends_whole, extension, fault, parts_of
 from .lines import DumpLines
 from .manifest import parent_sizes
 
@@ -40,6 +42,8 @@ def judge_files(files: DataFrame, manifest: DataFrame | None = None, skip: DataF
     ``size_mismatch``  neither the listed size nor the sum of its listed parts
     ``unsupported``    no dump extension
 
+    ``mark_broken`` adds ``broken``: read before, and damaged or cut short.
+
     A file that the manifest does not list is ready. ``month_days`` counts the days that the
     manifest lists for the file's month.
     """
@@ -76,6 +80,16 @@ def judge_files(files: DataFrame, manifest: DataFrame | None = None, skip: DataF
     ).drop("_skip")
 
 
+def mark_broken(judged: DataFrame, broken: DataFrame) -> DataFrame:
+    """Status ``broken`` for files of a given ``name, size``; a file of another size is a new one."""
+    known = broken.select("name", "size", F.lit(True).alias("_broken")).distinct()
+    return (
+        judged.join(known, ["name", "size"], "left")
+        .withColumn("status", F.when(F.coalesce("_broken", F.lit(False)) & F.col("status").isin("ready", "daily"), "broken").otherwise(F.col("status")))
+        .select(judged.columns)
+    )
+
+
 def complete_months(judged: DataFrame) -> DataFrame:
     """Months that exist only as daily files: ``type, month, num_days, complete``.
 
@@ -98,13 +112,20 @@ def readable_files(judged: DataFrame) -> DataFrame:
     return judged.where("status = 'ready'").unionByName(daily)
 
 
+def _native(path: str) -> bool:
+    """Whether the JVM decodes it. Hadoop knows its codecs by lowercase extensions."""
+    return extension(path) in JVM_EXTENSIONS and path.endswith(extension(path))
+
+
 def read_dumps(
     spark: SparkSession,
     paths: Sequence[str],
     max_lines: int = 0,
     spread: int | None = None,
+    part_bytes: int | None = None,
+    broken: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Lines of compressed dumps: ``value, file, type, month, pos``; blank lines left out.
+    """Lines of compressed dumps: ``value, file, type, month, pos, error``; blank lines left out.
 
     ``paths`` may hold patterns and folders; a path that matches no file is an error.
     ``pos`` orders lines within a month: by period, then file name, then place in the file.
@@ -112,6 +133,12 @@ def read_dumps(
     (0 = all). ``spread`` deals the lines of files that cannot be split over that many
     partitions, so that parsing and writing use all cores; by default over the cores that
     such files leave idle, and 0 leaves the lines where they are.
+
+    Files of several zst frames or xz blocks are read in parts of ``part_bytes`` compressed
+    bytes or more, by default those of ``spark.sql.files.maxPartitionBytes``; the cuts are
+    found in headers, one task a file. A zst or xz file that is damaged or ends too early has
+    a row without a value that names the ``error``. ``broken`` (path to reason) names files
+    known to be so: they are not opened and have that row only.
     """
     by_ext = lambda p: p[p.rfind(".") :].lower()
     named = [p for p in paths if re.search(r"\.[A-Za-z]\w{1,4}$", p)]
@@ -119,13 +146,16 @@ def read_dumps(
     bad = [p for p in (*named, *(f.path for f in files)) if by_ext(p) not in EXTENSIONS]
     if bad:
         raise ValueError(f"not dumps: {bad}")
-    # Hadoop knows its codecs by lowercase extensions.
-    native = [f.path for f in files if by_ext(f.path) in JVM_EXTENSIONS and f.path.endswith(by_ext(f.path))]
-    custom = [f.path for f in files if f.path not in set(native)]
+    broken = broken or {}
+    native = [f.path for f in files if _native(f.path) and f.path not in broken]
+    custom = [f.path for f in files if not _native(f.path) and f.path not in broken]
+    # With a cap only the first lines are decoded, so a file stays one part.
+    cuts = [(p, 0, -1) for p in custom] if max_lines else find_parts(spark, custom, part_bytes)
     cores = spark.sparkContext.defaultParallelism
     if spread is None:
-        spread = cores if sum(not p.endswith(".bz2") for p in (f.path for f in files)) in range(1, cores) else 0
+        spread = cores if len(cuts) + sum(not p.endswith(".bz2") for p in native) in range(1, cores) else 0
     parts = []
+    none = F.lit(None).cast("string").alias("error")
     if native:
         text = spark.read.option("lineSep", "\n").text(native)
         parts.append(
@@ -135,6 +165,7 @@ def read_dumps(
                 F.col("_metadata.file_name").alias("_name"),
                 F.col("_metadata.file_block_start").alias("_start"),
                 F.monotonically_increasing_id().alias("_line"),
+                none,
             ).where(F.col("value").rlike(r"\S"))
         )
         if max_lines:
@@ -142,24 +173,28 @@ def read_dumps(
             parts = [cap_lines(parts[0], max_lines, F.col("_start"), F.col("_line"))]
     if custom:
         spark.dataSource.register(DumpLines)
-        lines = (
-            spark.read.format("dump_lines")
-            .option("paths", json.dumps(custom))
-            .option("max_lines", str(max_lines))
-            .load()
-        )
+        lines = spark.read.format("dump_lines").option("parts", json.dumps(cuts)).option("max_lines", str(max_lines)).load()
         parts.append(
             lines.select(
                 F.col("value").cast("string").alias("value"),
                 F.col("path").alias("file"),
                 F.col("name").alias("_name"),
-                F.lit(0).cast("long").alias("_start"),
+                F.col("start").alias("_start"),
                 F.col("line").alias("_line"),
+                "error",
             )
         )
+    if broken:
+        # One row per broken file.
+        rows = [(None, f.path, f.name, 0, 0, broken[f.path]) for f in files if f.path in broken]
+        parts.append(spark.createDataFrame(rows, "value string, file string, _name string, _start long, _line long, error string"))
     if not parts:
-        return spark.createDataFrame([], "value string, file string, type string, month string, pos struct<period:string,name:string,start:bigint,line:bigint>")
-    lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return spark.createDataFrame(
+            [], "value string, file string, type string, month string, pos struct<period:string,name:string,start:bigint,line:bigint>, error string"
+        )
+    lines = parts[0]
+    for part in parts[1:]:
+        lines = lines.unionByName(part)
     # Name parts are worked out once per file, not per line; one row per file.
     names = spark.createDataFrame([(f.name,) for f in files], "_name string").distinct()
     parsed = with_name_parts(names, "_name").select("_name", "type", "month", "period")
@@ -170,10 +205,59 @@ def read_dumps(
         F.when(F.col("type").isNull(), unknown).otherwise(F.col("type")).alias("type"),
         "month",
         F.struct(F.col("period"), F.col("_name").alias("name"), F.col("_start").alias("start"), F.col("_line").alias("line")).alias("pos"),
+        "error",
     )
     return placed.repartition(spread) if spread else placed
 
 
+def _per_file(spark: SparkSession, paths: Sequence[str], work, schema: str) -> DataFrame:
+    """``work`` on every path, a task each: ``work(path)`` gives rows."""
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+
+    def run(batches):
+        for batch in batches:
+            rows = [row for path in batch["path"] for row in work(path)]
+            yield pd.DataFrame(rows, columns=names)
+
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+    return listed.repartition(len(paths)).mapInPandas(run, schema)
+
+
+def find_parts(spark: SparkSession, paths: Sequence[str], part_bytes: int | None = None) -> list[tuple[str, int, int]]:
+    """``path, start, end`` of the parts that files are read in; one entry per ``part_bytes`` of a file at most."""
+    least = part_bytes or int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    if not paths:
+        return []
+    sizes = {r.path: r.length for r in spark.read.format("binaryFile").load(list(paths)).select("path", "length").collect()}
+    small = [(p, 0, -1) for p in sorted(sizes) if sizes[p] < 2 * least]
+    large = [p for p in sorted(sizes) if sizes[p] >= 2 * least]
+    if not large:
+        return small
+    cut = parts_of
+    cuts = _per_file(spark, large, lambda path: [(path, *c) for c in cut(path, sizes[path], least)], "path string, start long, end long")
+    return small + sorted(tuple(r) for r in cuts.collect())
+
+
+def broken_ends(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Files for the JVM's decoders that these would take for short or empty ones, by their first and last bytes."""
+    check = ends_whole
+    native = [p for p in paths if _native(p)]
+    return _faults(spark, native, check) if native else {}
+
+
+def broken_inside(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """The same by decoding whole files, for use after the JVM has failed on one of them."""
+    check = fault
+    native = [p for p in paths if _native(p)]
+    return _faults(spark, native, check) if native else {}
+
+
+def _faults(spark: SparkSession, paths: list[str], check) -> dict[str, str]:
+    found = _per_file(spark, paths, lambda path: [(path, reason)] if (reason := check(path)) else [], "path string, reason string")
+    # One row per broken file.
+    return {r.path: r.reason for r in found.collect()}
+
+
 def find_files(spark: SparkSession, paths: Sequence[str]) -> list[Row]:
     """``path, name`` of every file behind paths, folders and patterns; one entry per dump. File contents are not read."""
     if not paths:

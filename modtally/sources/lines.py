@@ -1,77 +1,61 @@
 """Line source for dumps Spark's text reader cannot decode (xz, long-window zstd).
 
-One partition per file: these formats have no split points. A file is streamed, never
-held whole. Lines come out as bytes because a dump may not be valid UTF-8.
+One partition per part of a file (see ``archives``): a file of one frame or block is one
+part. Content is streamed, never held whole. Lines come out as bytes because a dump may not be
+valid UTF-8. A file that is damaged or ends too early gives a row without a line that says so
+in ``error``, beside whatever lines came before; the other files go on.
 """
 
 from __future__ import annotations
 
-import bz2
-import gzip
 import json
-import lzma
-import re
 from collections.abc import Iterator
-from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-# Fixed value: the largest zstd window a dump may use.
-ZSTD_MAX_WINDOW = 2**31
+from .archives import Broken, decoded, open_file, part_content
 
 _CHUNK = 1 << 23
 _BATCH_LINES = 20_000
 # Longer lines are taken as they are; a longer blank line is quarantined as malformed.
 _BLANK_LENGTH = 64
 
+_NAMES = ["value", "path", "name", "start", "line", "error"]
 
-class FilePartition(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
 
+class FilePart(InputPartition):
+    def __init__(self, path: str, start: int, end: int):
+        self.path, self.start, self.end = path, start, end
 
-def _open(path: str):
-    """Open a local path or any URI the Arrow file systems know."""
-    from pyarrow import fs
 
-    local = re.sub("^file:/+", "/", path)
-    if local.startswith("/"):
-        system, inner = fs.LocalFileSystem(), unquote(local) if local != path else path
-    else:
-        system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_stream(inner, compression=None)
+def _content(part: FilePart) -> Iterator[bytes]:
+    if (part.start, part.end) != (0, -1):
+        yield from part_content(part.path, part.start, part.end)
+        return
+    with open_file(part.path) as raw:
+        yield from decoded(part.path, raw)
 
 
-def _decompressed(path: str, raw):
-    extension = path[path.rfind(".") :].lower()
-    # Hadoop finds its codecs by lowercase extensions only; .GZ and .BZ2 come here.
-    openers = {".xz": lzma.open, ".gz": gzip.open, ".bz2": bz2.open}
-    if extension in openers:
-        return openers[extension](raw)
-    if extension == ".zst":
-        import zstandard
-
-        decoder = zstandard.ZstdDecompressor(max_window_size=ZSTD_MAX_WINDOW)
-        return decoder.stream_reader(raw, read_across_frames=True)
-    raise ValueError(f"not a dump: {path}")
-
-
-def _batches(stream) -> Iterator[pa.Array]:
+def _batches(content: Iterator[bytes]) -> Iterator[pa.Array]:
     """Lines of a stream, a few megabytes at a time; Arrow cuts them."""
-    rest = b""
-    while chunk := stream.read(_CHUNK):
-        block = rest + chunk
-        end = block.rfind(b"\n")
-        if end < 0:
-            rest = block
+    held: list[bytes] = []
+    size = 0
+    for piece in content:
+        held.append(piece)
+        size += len(piece)
+        if size < _CHUNK or b"\n" not in piece:
             continue
-        rest = block[end + 1 :]
+        block = b"".join(held)
+        end = block.rfind(b"\n")
+        held = [block[end + 1 :]]
+        size = len(held[0])
         yield pc.split_pattern(pa.array([block[:end]], pa.large_binary()), b"\n").flatten()
-    if rest:
-        yield pa.array([rest], pa.large_binary())
+    block = b"".join(held)
+    if block:
+        yield pc.split_pattern(pa.array([block], pa.large_binary()), b"\n").flatten()
 
 
 def _not_blank(lines: pa.Array) -> np.ndarray:
@@ -85,18 +69,25 @@ def _not_blank(lines: pa.Array) -> np.ndarray:
 
 
 class DumpLinesReader(DataSourceReader):
-    def __init__(self, paths: list[str], max_lines: int):
-        self.paths = paths
+    def __init__(self, parts: list[tuple[str, int, int]], max_lines: int):
+        self.parts = parts
         self.max_lines = max_lines
 
-    def partitions(self) -> list[FilePartition]:
-        return [FilePartition(p) for p in self.paths]
+    def partitions(self) -> list[FilePart]:
+        return [FilePart(*p) for p in self.parts]
+
+    def read(self, partition: FilePart) -> Iterator[pa.RecordBatch]:
+        path, name = partition.path, partition.path.rsplit("/", 1)[-1]
+        start = max(partition.start, 0)
+
+        def rows(values, numbers, error=None) -> pa.RecordBatch:
+            own = lambda x, kind: pa.array([x] * len(values), kind)
+            columns = [values, own(path, pa.string()), own(name, pa.string()), own(start, pa.int64()), numbers, own(error, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, _NAMES)
 
-    def read(self, partition: FilePartition) -> Iterator[pa.RecordBatch]:
-        name = partition.path.rsplit("/", 1)[-1]
         seen = kept = 0
-        with _open(partition.path) as raw, _decompressed(partition.path, raw) as stream:
-            for lines in _batches(stream):
+        try:
+            for lines in _batches(_content(partition)):
                 full = _not_blank(lines)
                 numbers = pa.array(np.arange(seen, seen + len(lines)), pa.int64())
                 seen += len(lines)
@@ -108,25 +99,22 @@ class DumpLinesReader(DataSourceReader):
                 mask = pa.array(full)
                 values, numbers = lines.filter(mask), numbers.filter(mask)
                 for low in range(0, len(values), _BATCH_LINES):
-                    part = values.slice(low, _BATCH_LINES).cast(pa.binary())
-                    own = [partition.path] * len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [part, pa.array(own, pa.string()), pa.array([name] * len(part), pa.string()), numbers.slice(low, _BATCH_LINES)],
-                        ["value", "path", "name", "line"],
-                    )
+                    yield rows(values.slice(low, _BATCH_LINES).cast(pa.binary()), numbers.slice(low, _BATCH_LINES))
                 if self.max_lines and kept >= self.max_lines:
                     break
+        except Broken as error:
+            yield rows(pa.array([None], pa.binary()), pa.array([seen], pa.int64()), str(error))
 
 
 class DumpLines(DataSource):
-    """``spark.read.format("dump_lines").option("paths", json_list).load()``"""
+    """``spark.read.format("dump_lines").option("parts", json_list).load()``; a part is ``path, start, end``."""
 
     @classmethod
     def name(cls) -> str:
         return "dump_lines"
 
     def schema(self) -> str:
-        return "value binary, path string, name string, line bigint"
+        return "value binary, path string, name string, start bigint, line bigint, error string"
 
     def reader(self, schema) -> DumpLinesReader:
-        return DumpLinesReader(json.loads(self.options["paths"]), int(self.options.get("max_lines", "0")))
+        return DumpLinesReader([tuple(p) for p in json.loads(self.options["parts"])], int(self.options.get("max_lines", "0")))

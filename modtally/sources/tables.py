@@ -6,31 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import BLOCK_COLUMNS, BLOCKS, BLOCKS_BY_MONTH, ENRICHED, ID_LIST, SLIM, SLIM_BY_MONTH
-from ..session import remove
+from ..schemas import BLOCK_COLUMNS, BLOCKS, BLOCKS_BY_MONTH, CLASSIFIED, ENRICHED, ID_LIST, SLIM, SLIM_BY_MONTH
+from .runs import read_monthly, read_runs
 
 
 # Texts keep their blanks at both ends.
 _CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def drop_months(spark: SparkSession, path: str, pairs: list[tuple[str, str]]) -> None:
-    """Delete the folders of the given (type, month) pairs, on whatever store the table lies."""
-    for item_type, month in pairs:
-        remove(spark, f"{path}/type={item_type}/month={month}")
-
-
-def write_by_month(df: DataFrame, path: str, rebalance: bool = False, pairs: list[tuple[str, str]] | None = None) -> None:
-    """Parquet by type and month. Only the months in ``df`` are replaced.
-
-    ``pairs`` names the (type, month) pairs that were processed: those without a row in
-    ``df`` lose what an earlier run wrote.
+def write_by_month(df: DataFrame, path: str, rebalance: bool = False) -> None:
+    """Parquet by type and month, for a table written once. Months that are replaced later belong into ``runs``.
 
     ``rebalance`` is for tables shuffled by another key: it gathers each month into few
     files of even size, splitting a large month and joining small ones.
     """
-    if pairs is not None:
-        drop_months(df.sparkSession, path, pairs)
     if rebalance:
         df = df.hint("rebalance", "type", "month")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("type", "month").parquet(path)
@@ -38,13 +27,21 @@ def write_by_month(df: DataFrame, path: str, rebalance: bool = False, pairs: lis
 
 def read_slim(spark: SparkSession, path: str, item_type: str | None = None) -> DataFrame:
     # The schema keeps month names such as 2018-10 text; inferred, they would become dates.
-    df = spark.read.schema(SLIM_BY_MONTH).parquet(path)
-    return df if item_type is None else df.where(F.col("type") == item_type)
+    return read_monthly(spark, path, SLIM_BY_MONTH, item_type)
 
 
 def read_blocks(spark: SparkSession, path: str, item_type: str | None = None) -> DataFrame:
-    df = spark.read.schema(BLOCKS_BY_MONTH).parquet(path)
-    return df if item_type is None else df.where(F.col("type") == item_type)
+    return read_monthly(spark, path, BLOCKS_BY_MONTH, item_type)
+
+
+def read_block_months(spark: SparkSession, path: str, months: list[tuple[str, str]]) -> DataFrame:
+    """Blocks of some months only."""
+    return read_monthly(spark, path, BLOCKS_BY_MONTH, months=months)
+
+
+def read_classified_run(spark: SparkSession, out: str, run: int, months: list[tuple[str, str]]) -> DataFrame:
+    """What a run has classified, before the log names it."""
+    return read_runs(spark, f"{out}/classified", CLASSIFIED, {m: run for m in months})
 
 
 def write_slim_csv(items: DataFrame, path: str) -> None:

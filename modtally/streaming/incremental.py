@@ -33,10 +33,17 @@ def file_times(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder holds any file Spark would read."""
-    try:
-        return not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").isEmpty()
-    except Exception as error:  # an absent folder is the normal first run
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
+    """Whether a folder holds any file Spark would read; asked of the file system, without a job."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return False
+    folder = system.makeQualified(folder)
+    files = system.listFiles(folder, True)
+    while files.hasNext():
+        file = files.next()
+        inner = file.getPath().toString()[len(folder.toString()) :]
+        # Names with a leading mark are no data, at any depth; nor are files of zero bytes.
+        if file.getLen() and not any(part[:1] in ("_", ".") for part in inner.split("/")):
+            return True
+    return False

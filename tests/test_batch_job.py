@@ -205,7 +205,7 @@ def test_a_later_build_reads_no_old_texts(spark, tmp_path):
     dump(raw, "RS_2018-01.zst", [post(i) for i in range(10)])
     first = B.build(spark, str(raw), out, settings=settings)
     before = {r.id: r.body for r in first["comments"].collect()}
-    for part in (tmp_path / "out" / "classified" / "type=comments" / "month=2018-01").glob("*.parquet"):
+    for part in (tmp_path / "out" / "classified" / "type=comments" / "month=2018-01").rglob("*.parquet"):
         part.write_bytes(b"unreadable")
     dump(raw, "RC_2018-02.zst", [comment(i) for i in range(100, 140)])
     after = {r.id: r.body for r in B.build(spark, str(raw), out, settings=settings)["comments"].collect()}
