@@ -301,7 +301,7 @@ WITH d AS MATERIALIZED (
 ), counts AS (
   SELECT bucket, count(*) AS raw, count(trusted) AS target FROM f LEFT JOIN good USING (doc_id) GROUP BY bucket
 ), weights AS (
-  SELECT bucket, CAST(round({_B.MILLION} * ln((target + 1.0::DOUBLE) / (raw::DOUBLE * (sum(target) OVER ())::DOUBLE / (sum(raw) OVER ())::DOUBLE + 1.0::DOUBLE))) AS BIGINT) AS weight FROM counts
+  SELECT bucket, CAST(round({_B.MILLION} * ln((target + {_B.PRIOR}::DOUBLE) / (raw::DOUBLE * (sum(target) OVER ())::DOUBLE / (sum(raw) OVER ())::DOUBLE + {_B.PRIOR}::DOUBLE))) AS BIGINT) AS weight FROM counts
 ), sums AS (
   SELECT row, sum(weight) AS ratio, count(*) AS n_features FROM f JOIN weights USING (bucket) GROUP BY row
 ), wins AS (
@@ -321,6 +321,6 @@ WITH d AS MATERIALIZED (
   SELECT *, n_words < {_B.LEAST_WORDS} OR 100 * n_repeat_words > {_B.MOST_REPEATED} * n_words AS base_failed FROM base
 )
 SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(ratio, 0) >= {_B.THRESHOLD} AS kept, CAST(coalesce(ratio, 0) AS BIGINT) AS ratio, coalesce(n_features, 0) AS n_features
+  NOT base_failed AND coalesce(ratio, 0) >= {_B.THRESHOLD} * coalesce(n_features, 0) AS kept, CAST(coalesce(ratio, 0) AS BIGINT) AS ratio, coalesce(n_features, 0) AS n_features
 FROM ruled LEFT JOIN sums USING (row)
 """

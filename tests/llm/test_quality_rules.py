@@ -33,7 +33,7 @@ def plain(docs, good):
             raw[b] = raw.get(b, 0) + 1
             target[b] = target.get(b, 0) + (i in good)
     r, t = max(sum(raw.values()), 1), sum(target.values())
-    weight = {b: math.log((target[b] + 1.0) / (raw[b] * t / r + 1.0)) * 1e6 for b in raw}
+    weight = {b: math.log((target[b] + quality_rules.PRIOR) / (raw[b] * t / r + quality_rules.PRIOR)) * 1e6 for b in raw}
     out = []
     for i, text in docs:
         figures = base(text)
@@ -61,7 +61,7 @@ def test_plain(spark):
     good = [i for i, _ in docs if i is not None and i % 3 == 0]
     found = judged(spark, docs, [*good, None, good[0]])
     assert rows(found) == plain(docs, set(good))
-    assert all(r.kept == (not r.base_failed and r.ratio >= 0) for r in found)
+    assert all(r.kept == (not r.base_failed and r.ratio >= quality_rules.THRESHOLD * r.n_features) for r in found)
 
 
 def test_no_trusted_text_no_rows_and_thresholds(spark):

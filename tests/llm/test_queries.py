@@ -49,6 +49,14 @@ def test_op1(spark, docs):
     assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.95
 
 
+def test_op12(spark):
+    """The verdict on documents whose labels no count has used."""
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
+    rows = [r for r in QUERIES["op12_quality_rules"](spark, LARGER).collect() if r.doc_id in truth and zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    judged = [r for r in rows if not r.base_failed]
+    assert sum(r.kept == truth[r.doc_id] for r in judged) / len(judged) > 0.9
+
+
 def test_op2(spark, docs):
     rows = {r.doc_id: r for r in QUERIES["op2_pii"](spark, DIR).collect()}
     for i, text in docs:
