@@ -10,16 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modtally.operators import blocks as B
-from modtally.operators.slim import classify, kept_items
 from modtally.plans import build
 from modtally.session import scratch_path
 from modtally.sources import runs
 from modtally.sources import tables as io
-from modtally.sources.dumps import decode_lines, read_dumps
+from modtally.sources.dumps import read_dumps
 from modtally.sources.tables import read_names
 
 from . import roles
-from .queries import _SLIM, POST_MIN, POST_ROWS, query
+from .queries import _SLIM, POST_MIN, POST_ROWS, query, scanned
 from .roles import once
 
 POST_SETTINGS = build.Settings(n_rows=POST_ROWS, min_rows=POST_MIN)
@@ -96,7 +95,7 @@ def scan_frames(spark, d):
     """Dumps of many zst frames and xz blocks, cut anywhere in a line and read in parts."""
     raw = write_dumps(spark, roles.post_lines(spark, d), frames=5_000)
     lines = read_dumps(spark, [raw], part_bytes=2_000)
-    return kept_items(classify(decode_lines(lines))).select("month", *_SLIM)
+    return scanned(lines).select("month", *_SLIM)
 
 
 class Stopped(Exception):

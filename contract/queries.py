@@ -28,7 +28,7 @@ from modtally.operators.slim import classify, kept_items, quarantined, rejected_
 from modtally.plans import build
 from modtally.plans import publish as P
 from modtally.plans import rankings as R
-from modtally.session import scratch_path
+from modtally.session import scratch_path, written
 from modtally.sources import tables as io
 from modtally.sources.dumps import cap_lines, complete_months, decode_lines, judge_files, read_dumps, readable_files
 from modtally.sources.manifest import coverage, order_manifest, parent_sizes, upsert_manifest
@@ -259,14 +259,21 @@ def _dump(spark: SparkSession, d: str, codec: str, extension: str) -> DataFrame:
     return lines.withColumns({"type": F.lit("comments"), "month": F.lit(roles.COMMENT_MONTH)})
 
 
+def scanned(lines: DataFrame) -> DataFrame:
+    """Items of scanned lines. The parsed lines are written first: the items and the files to leave out both
+    come from them, and no dump is decoded twice."""
+    parsed = classify(decode_lines(lines)).select(*_SLIM, "type", "month", "pos", "file", "outcome", "reason")
+    return kept_items(written(parsed, "scanned"))
+
+
 @query
 def scan_gz(spark, d):
-    return kept_items(classify(decode_lines(_dump(spark, d, "gzip", ".gz")))).select(*_SLIM)
+    return scanned(_dump(spark, d, "gzip", ".gz")).select(*_SLIM)
 
 
 @query
 def scan_bz2(spark, d):
-    return kept_items(classify(decode_lines(_dump(spark, d, "bzip2", ".bz2")))).select(*_SLIM)
+    return scanned(_dump(spark, d, "bzip2", ".bz2")).select(*_SLIM)
 
 
 def packed_dump_paths(spark: SparkSession, d: str, extension: str, files: int | None = None) -> list[str]:
@@ -307,12 +314,12 @@ def _packed_dump(spark: SparkSession, d: str, extension: str) -> DataFrame:
 
 @query
 def scan_zst(spark, d):
-    return kept_items(classify(decode_lines(_packed_dump(spark, d, ".zst")))).select(*_SLIM)
+    return scanned(_packed_dump(spark, d, ".zst")).select(*_SLIM)
 
 
 @query
 def scan_xz(spark, d):
-    return kept_items(classify(decode_lines(_packed_dump(spark, d, ".xz")))).select(*_SLIM)
+    return scanned(_packed_dump(spark, d, ".xz")).select(*_SLIM)
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Sequence
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import with_name_parts
 from ..functions.names import EXTENSIONS, file_name
-from .archives import ends_whole, extension, fault, parts_of
+from .archives import ends_whole, extension, fault, fewer_parts, parts_of
 from .lines import DumpLines
 from .manifest import parent_sizes
 
@@ -22,6 +23,9 @@ JVM_EXTENSIONS = (".gz", ".bz2")
 # Positions that count as one chunk of a file.
 CHUNK_LINES = 1 << 16
 
+# Every part is a task: parts smaller than those of ``spark.sql.files.maxPartitionBytes`` are so many a core at most.
+PARTS_PER_CORE = 32
+
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """``path, name, size, modified`` plus the name parts. File contents are not read."""
@@ -135,8 +139,8 @@ def read_dumps(
     such files leave idle, and 0 leaves the lines where they are.
 
     Files of several zst frames or xz blocks are read in parts of ``part_bytes`` compressed
-    bytes or more, by default those of ``spark.sql.files.maxPartitionBytes``; the cuts are
-    found in headers, one task a file. A zst or xz file that is damaged or ends too early has
+    bytes or more, by default those of ``spark.sql.files.maxPartitionBytes``; small ones are
+    joined where they are more than ``PARTS_PER_CORE``. The cuts are found in headers, one task a file. A zst or xz file that is damaged or ends too early has
     a row without a value that names the ``error``. ``broken`` (path to reason) names files
     known to be so: they are not opened and have that row only.
     """
@@ -224,8 +228,13 @@ def _per_file(spark: SparkSession, paths: Sequence[str], work, schema: str) -> D
 
 
 def find_parts(spark: SparkSession, paths: Sequence[str], part_bytes: int | None = None) -> list[tuple[str, int, int]]:
-    """``path, start, end`` of the parts that files are read in; one entry per ``part_bytes`` of a file at most."""
-    least = part_bytes or int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    """``path, start, end`` of the parts that files are read in; one entry per ``part_bytes`` of a file at most.
+
+    Parts are joined where all files together have more than ``PARTS_PER_CORE`` a core, up to
+    ``spark.sql.files.maxPartitionBytes`` each, so that tasks do not grow in number with the files.
+    """
+    usual = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    least = part_bytes or usual
     if not paths:
         return []
     sizes = {r.path: r.length for r in spark.read.format("binaryFile").load(list(paths)).select("path", "length").collect()}
@@ -233,8 +242,11 @@ def find_parts(spark: SparkSession, paths: Sequence[str], part_bytes: int | None
     large = [p for p in sorted(sizes) if sizes[p] >= 2 * least]
     if not large:
         return small
-    cut = parts_of
-    cuts = _per_file(spark, large, lambda path: [(path, *c) for c in cut(path, sizes[path], least)], "path string, start long, end long")
+    cut, join = parts_of, fewer_parts
+    tasks = PARTS_PER_CORE * spark.sparkContext.defaultParallelism
+    # A file's share of the tasks.
+    most = {p: math.ceil(max(tasks * sizes[p] / sum(sizes.values()), sizes[p] / usual)) for p in large}
+    cuts = _per_file(spark, large, lambda path: [(path, *c) for c in join(cut(path, sizes[path], least), most[path])], "path string, start long, end long")
     return small + sorted(tuple(r) for r in cuts.collect())
 
 
