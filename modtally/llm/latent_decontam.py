@@ -1,10 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Document frequencies of hashed terms over all documents give the TF-IDF weights.
-2. A distributed randomised SVD of TF-IDF passages gives the latent space: tasks sum
-   ``A'(A W)`` for a random ``W``, then the small Gram matrix of ``A Q``; what reaches the
-   driver is ``TERMS x RANK`` numbers. The passages are those of a sample of at most about
-   ``SAMPLE`` documents (of hashed id) and of the benchmark itself.
+2. A distributed randomised SVD of the TF-IDF passages of all documents and of the benchmark gives
+   the latent space: tasks sum ``Y = A'(A W)`` for a random ``W`` in one pass, and ``Y (W'Y)^-1 Y'``
+   stands for ``A'A``, whose eigenvectors it gives (Nystrom). What reaches the driver is
+   ``TERMS x RANK`` numbers.
 3. Every word of every document is projected; differences of running totals are windows of
    any length. Passages are searched in classes of length a factor ``CLASS`` apart, with windows of the
    class's length that start at every eighth of it (every ``STEP`` words at least), by cosine in the
@@ -34,11 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import mix, ranges, rolling, word_bounds, word_hashes
-from .frames import discard, id_and_text, over_rows, over_texts, pieces, text_bytes, write_shared
+from .frames import id_and_text, over_rows, over_texts, pieces, text_bytes
 
 TERMS = 1 << 15
 RANK, SPARE = 128, 8
-SAMPLE = 20_000
 BLOCK = 8
 # Windows start at every so many words at least, or an eighth of their length; lengths of a class differ by
 # this factor; so many words of a text are held as vectors at a time.
@@ -51,11 +50,13 @@ COPIED, PARAPHRASED = 0.7, 0.5
 RUN = 13
 ANSWER_SHARE, ANSWER_WORDS = 0.8, 5
 CHUNK = 512
-# Entries of the sparse matrix that are multiplied at a time.
-ENTRIES = 8_192
+# Entries of the sparse matrix that are multiplied at a time: their rows fit a core's cache.
+ENTRIES = 1_024
 PIECE = 2 << 20
-# The sample has a fixed bound, and so have its tasks: each sends a matrix of the whole vocabulary.
-SAMPLE_TASKS = 4
+# Each task sends a matrix of the whole vocabulary; so many are added up at a time.
+TASKS = 64
+# Eigenvalues below this share of the largest are noise of single precision.
+NOISE = 1e-6
 
 
 def column(batch, name):
@@ -114,44 +115,46 @@ def add_products(out: np.ndarray, key: np.ndarray, table: np.ndarray, index: np.
         out[k[head]] += np.add.reduceat(table[index[part]] * value[part, None], head, axis=0)
 
 
-def _sketch(batches, weight: np.ndarray, seed: int):
+def random_directions() -> np.ndarray:
+    return np.random.default_rng(1).standard_normal((TERMS, RANK + SPARE), np.float32)
+
+
+def _sketch(batches, weight: np.ndarray):
     """This task's share of ``A'(A W)``, in chunks of terms."""
-    w = np.random.default_rng(seed).standard_normal((TERMS, RANK + SPARE))
-    total = np.zeros_like(w)
+    w = random_directions()
+    total, any_words = np.zeros_like(w), False
     for piece in batches:
         owner, term, value = passages(*words_of(column(piece, "text")), weight)
         if len(owner):
-            z = np.zeros((int(owner[-1]) + 1, w.shape[1]))
+            any_words, value = True, value.astype(np.float32)
+            z = np.zeros((int(owner[-1]) + 1, w.shape[1]), np.float32)
             add_products(z, owner, w, term, value)
-            order = np.argsort(term, kind="stable")
+            order = np.argsort(term.astype(np.uint16), kind="stable")
             add_products(total, term[order], z, owner[order], value[order])
-    for low in range(0, TERMS, CHUNK):
-        yield low // CHUNK, total[low : low + CHUNK]
-
-
-def _gram(batches, weight: np.ndarray, q: np.ndarray) -> np.ndarray:
-    total = np.zeros((q.shape[1], q.shape[1]))
-    for piece in batches:
-        owner, term, value = passages(*words_of(column(piece, "text")), weight)
-        if len(owner):
-            z = np.zeros((int(owner[-1]) + 1, q.shape[1]))
-            add_products(z, owner, q, term, value)
-            total += z.T @ z
-    return total
+    if any_words:
+        for low in range(0, TERMS, CHUNK):
+            yield low // CHUNK, total[low : low + CHUNK]
 
 
 def _summed(df: DataFrame, work) -> dict[int, np.ndarray]:
     """Sum of the arrays that the tasks yield as ``part, array``; one array a part reaches the driver."""
+    per = TASKS
 
     def run(batches):
+        from pyspark import TaskContext
+
+        slot = TaskContext.get().partitionId() // per
         for part, array in work(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([array.astype(np.float32).tobytes()], pa.binary())], ["part", "blob"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int64()), pa.array([slot], pa.int64()), pa.array([array.astype(np.float32).tobytes()], pa.binary())], ["part", "slot", "blob"]
+            )
 
     def add(key, rows):
         total = sum(np.frombuffer(b, np.float32).astype(np.float64) for b in rows.column("blob").to_pylist())
         return pa.table({"part": [key[0].as_py()], "blob": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
-    rows = df.mapInArrow(run, "part long, blob binary").groupBy("part").applyInArrow(add, "part long, blob binary").collect()
+    some = df.mapInArrow(run, "part long, slot long, blob binary").groupBy("part", "slot").applyInArrow(add, "part long, blob binary")
+    rows = some.groupBy("part").applyInArrow(add, "part long, blob binary").collect()
     return {r.part: np.frombuffer(r.blob, np.float32) for r in rows}
 
 
@@ -163,27 +166,27 @@ def latent_space(texts: DataFrame, items: DataFrame) -> np.ndarray:
     df = np.zeros(TERMS)
     df[term[term >= 0]] = n[term >= 0]
     weight = np.log((docs + 1) / (df + 1)) + 0.1
-    every = max(1, docs // SAMPLE)
-    sampled = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text").unionByName(items.select("text"))
-    held = write_shared(sampled, "sample")
-    sampled = held.coalesce(SAMPLE_TASKS)
-    sketch, gram, cut = _sketch, _gram, pieces
+    sketch, cut = _sketch, pieces
     width = RANK + SPARE
-    y = np.zeros((TERMS, width), np.float32)
-    for part, block in _summed(sampled, lambda batches: sketch(cut(batches, PIECE), weight, 1)).items():
+    y = np.zeros((TERMS, width))
+    every = texts.select("text").unionByName(items.select("text"))
+    for part, block in _summed(every, lambda batches: sketch(cut(batches, PIECE), weight)).items():
         y[part * CHUNK : (part + 1) * CHUNK] = block.reshape(-1, width)
-    q = np.linalg.qr(y)[0]
+    table = np.zeros((TERMS + 1, RANK), np.float32)
+    if not y.any():
+        return table
+    core = random_directions().T @ y
+    side, half = np.linalg.eigh((core + core.T) / 2)
+    side = np.where(side > NOISE * side[-1], 1 / np.sqrt(np.maximum(side, 1e-300)), 0)
+    # The eigenvectors of B B' are those of B, by the small matrix B'B.
+    b = y @ (half * side)
     del y
-    small = _summed(sampled, lambda batches: iter([(0, gram(cut(batches, PIECE), weight, q))])).get(0)
-    discard(held)
-    if small is None:
-        return np.zeros((TERMS + 1, RANK), np.float32)
-    value, vector = np.linalg.eigh(small.reshape(width, width).astype(np.float64))
+    value, vector = np.linalg.eigh(b.T @ b)
     top = np.argsort(-value)[:RANK]
-    # Whitening weighs all latent directions alike, so that a shared language is no likeness.
-    scale = np.where(value[top] > 1e-9 * max(value[top[0]], 1e-30), 1 / np.sqrt(np.maximum(value[top], 1e-30)), 0)
-    table = np.zeros((TERMS + 1, RANK), np.float32)
-    np.multiply(q @ (vector[:, top] * scale).astype(np.float32), weight[:, None], out=table[:-1], casting="same_kind")
+    # Whitening weighs all latent directions alike, so that a shared language is no likeness. Columns of B V
+    # have the eigenvalue's root as their length.
+    scale = np.where(value[top] > NOISE * value[top[0]], 1 / np.maximum(value[top], 1e-300), 0)
+    np.multiply((b @ (vector[:, top] * scale)).astype(np.float32), weight[:, None], out=table[:-1], casting="same_kind")
     return table
 
 
