@@ -273,15 +273,16 @@ def scan_gz(spark, d):
 
 @query
 def scan_bz2(spark, d):
-    return scanned(_dump(spark, d, "bzip2", ".bz2")).select(*_SLIM)
+    return scanned(_packed_dump(spark, d, ".bz2")).select(*_SLIM)
 
 
 def packed_dump_paths(spark: SparkSession, d: str, extension: str, files: int | None = None) -> list[str]:
-    """The same for codecs Spark cannot write: each task packs its lines into one file."""
+    """The same for codecs Spark cannot write, or only slowly (bz2): each task packs its lines into one file."""
     folder = scratch_path(spark, "dump")
     name = f"RC_{roles.COMMENT_MONTH}"
 
     def pack(batches):
+        import bz2
         import lzma
         import uuid
 
@@ -295,7 +296,7 @@ def packed_dump_paths(spark: SparkSession, d: str, extension: str, files: int |
             if extension == ".zst":
                 packed = zstandard.ZstdCompressor().stream_writer(raw, closefd=False)
             else:
-                packed = lzma.open(raw, "w", preset=0)
+                packed = lzma.open(raw, "w", preset=0) if extension == ".xz" else bz2.open(raw, "w")
             with packed:
                 for batch in batches:
                     packed.write("".join(batch["value"] + "\n").encode())
