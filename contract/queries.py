@@ -80,8 +80,8 @@ def written_blocks(spark: SparkSession, d: str, kind: str) -> DataFrame:
 def classified(spark: SparkSession, d: str) -> str:
     """Both kinds of raw lines, parsed once and written."""
     path = scratch_path(spark, "classified")
-    classify(roles.comment_lines(spark, d)).write.parquet(f"{path}/comments")
-    classify(roles.post_lines(spark, d)).write.parquet(f"{path}/posts")
+    classify(roles.comment_lines(spark, d)).write.option("compression", "zstd").parquet(f"{path}/comments")
+    classify(roles.post_lines(spark, d)).write.option("compression", "zstd").parquet(f"{path}/posts")
     return path
 
 
@@ -657,9 +657,7 @@ def unique_key_report(spark, d):
 
 @query
 def constraint_report(spark, d):
-    source = roles.comment_source(spark, d)
-    text = table(spark, d, "documents").select(F.col("doc_id").alias("l_partkey"), "text")
-    unclean = source.join(text, "l_partkey", "left").select(
+    unclean = roles.comment_source(spark, d, text_of="l_partkey").select(
         "id", F.col("text").alias("body"), F.when(F.col("kind") == "item", F.col("created_utc")).alias("created_utc"), "link_id", "score"
     )
     return C.constraint_report({**live(spark, d), "comments": unclean})

@@ -38,12 +38,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores when the table is a file or two, which one task would read alone.
+    """Use all cores when the table is so small that fewer tasks would read it.
 
-    A folder with at least as many files as cores stays as it is.
+    A table that Spark reads in at least as many parts as there are cores stays as it is: dealt over
+    a fixed number of partitions, a task would grow with the table.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 def epoch(column: str) -> Column:
@@ -63,8 +64,11 @@ COMMENT_POS = (
 )
 
 
-def comment_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def comment_source(spark: SparkSession, sf_dir: str, text_of: str | None = None) -> DataFrame:
+    """``text_of`` names the key whose document's ``text`` is added. It is joined to the plain table, whose rows are the shorter ones."""
     item = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    if text_of:
+        item = item.join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias(text_of), "text"), text_of, "left")
     special = F.col("l_linenumber") == 7
     return item.select(
         F.lit("comments").alias("type"),
@@ -83,6 +87,7 @@ def comment_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber",
         "l_partkey",
         F.struct(*COMMENT_POS).alias("pos"),
+        *(["text"] if text_of else []),
     )
 
 
@@ -97,9 +102,7 @@ def comment_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same comments as raw JSON lines, with bodies, adverts and incomplete records."""
-    source = comment_source(spark, sf_dir)
-    text = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("l_orderkey"), "text")
-    joined = source.join(text, "l_orderkey", "left")
+    joined = comment_source(spark, sf_dir, text_of="l_orderkey")
     escaped = F.col("l_linenumber") % 2 == 1
     removed, advert = F.col("is_removed"), F.col("kind") == "advert"
     rest = F.struct(
