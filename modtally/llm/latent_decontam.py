@@ -109,10 +109,12 @@ def passages(words: np.ndarray, rows: np.ndarray, weight: np.ndarray) -> tuple[n
 
 def add_products(out: np.ndarray, key: np.ndarray, table: np.ndarray, index: np.ndarray, value: np.ndarray) -> None:
     """``out[key] += table[index] * value`` for sorted keys, a bounded number of entries at a time."""
-    for low in range(0, len(key), ENTRIES):
-        k, part = key[low : low + ENTRIES], slice(low, low + ENTRIES)
-        head = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-        out[k[head]] += np.add.reduceat(table[index[part]] * value[part, None], head, axis=0)
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    ends = np.append(head[1:], len(key))
+    for k, first, end in zip(key[head].tolist(), head.tolist(), ends.tolist(), strict=True):
+        for low in range(first, end, ENTRIES):
+            part = slice(low, min(low + ENTRIES, end))
+            out[k] += value[part] @ table.take(index[part], axis=0)
 
 
 def random_directions() -> np.ndarray:
