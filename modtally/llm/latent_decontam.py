@@ -42,6 +42,8 @@ BLOCK = 8
 # Windows start at every so many words at least, or an eighth of their length; lengths of a class differ by
 # this factor; so many words of a text are held as vectors at a time.
 STEP, CLASS, HELD = 2, 1.2, 2_048
+# Words are added up in runs of so many, those of all runs at once.
+SUMMED = 32
 # Longest passage of a benchmark item, in blocks; longer items become several passages.
 LONGEST = 8
 GROUP = 16_384
@@ -50,13 +52,15 @@ COPIED, PARAPHRASED = 0.7, 0.5
 RUN = 13
 ANSWER_SHARE, ANSWER_WORDS = 0.8, 5
 CHUNK = 512
-# Entries of the sparse matrix that are multiplied at a time: their rows fit a core's cache.
-ENTRIES = 1_024
+# Passages that are multiplied at a time, as a dense matrix over the terms that they have.
+TOGETHER = 16
 PIECE = 2 << 20
 # Each task sends a matrix of the whole vocabulary; so many are added up at a time.
 TASKS = 64
 # Eigenvalues below this share of the largest are noise of single precision.
 NOISE = 1e-6
+# Words of candidate regions that are looked up at a time.
+LOOKED_UP = 1 << 17
 
 
 def column(batch, name):
@@ -74,7 +78,7 @@ def plain() -> np.ndarray:
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all rows and the rows' offsets."""
     raw, offsets = text_bytes(pa.RecordBatch.from_arrays([pc.utf8_lower(texts)], ["text"]))
-    raw = plain()[raw]
+    raw = np.frombuffer(raw.tobytes().translate(plain().tobytes()), np.uint8)
     starts, ends, rows = word_bounds(raw, offsets)
     return word_hashes(raw, starts, ends), rows
 
@@ -107,14 +111,20 @@ def passages(words: np.ndarray, rows: np.ndarray, weight: np.ndarray) -> tuple[n
     return owner, term, value / np.maximum(norm[owner], 1e-12)
 
 
-def add_products(out: np.ndarray, key: np.ndarray, table: np.ndarray, index: np.ndarray, value: np.ndarray) -> None:
-    """``out[key] += table[index] * value`` for sorted keys, a bounded number of entries at a time."""
-    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    ends = np.append(head[1:], len(key))
-    for k, first, end in zip(key[head].tolist(), head.tolist(), ends.tolist(), strict=True):
-        for low in range(first, end, ENTRIES):
-            part = slice(low, min(low + ENTRIES, end))
-            out[k] += value[part] @ table.take(index[part], axis=0)
+def add_products(total: np.ndarray, w: np.ndarray, owner: np.ndarray, term: np.ndarray, value: np.ndarray) -> None:
+    """``total += A'(A w)`` for the entries of ``A``, which are sorted by owner: dense products of ``TOGETHER`` passages and their terms."""
+    place = np.zeros(len(total), np.int64)
+    some = np.zeros(len(total), bool)
+    cuts = np.searchsorted(owner, np.arange(0, int(owner[-1]) + 1 + TOGETHER, TOGETHER))
+    for k, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+        own = term[low:high]
+        some[own] = True
+        terms = np.flatnonzero(some)
+        some[terms] = False
+        place[terms] = np.arange(len(terms))
+        a = np.zeros((TOGETHER, len(terms)), np.float32)
+        a[owner[low:high] - k * TOGETHER, place[own]] = value[low:high]
+        total[terms] = total.take(terms, axis=0) + a.T @ (a @ w.take(terms, axis=0))
 
 
 def random_directions() -> np.ndarray:
@@ -128,11 +138,8 @@ def _sketch(batches, weight: np.ndarray):
     for piece in batches:
         owner, term, value = passages(*words_of(column(piece, "text")), weight)
         if len(owner):
-            any_words, value = True, value.astype(np.float32)
-            z = np.zeros((int(owner[-1]) + 1, w.shape[1]), np.float32)
-            add_products(z, owner, w, term, value)
-            order = np.argsort(term.astype(np.uint16), kind="stable")
-            add_products(total, term[order], z, owner[order], value[order])
+            any_words = True
+            add_products(total, w, owner, term, value)
     if any_words:
         for low in range(0, TERMS, CHUNK):
             yield low // CHUNK, total[low : low + CHUNK]
@@ -215,6 +222,24 @@ def length_class(length: int) -> int:
     return min(round(CLASS ** round(np.log(max(length, 1)) / np.log(CLASS))), LONGEST * BLOCK)
 
 
+def of_item(at, words: np.ndarray) -> np.ndarray:
+    """A hash of every item's number and word."""
+    return words ^ mix(np.atleast_1d(at).astype(np.uint64) + np.uint64(1))
+
+
+class Marked:
+    """A set of hashes as marked places of their leading bits: it may hold more than were put in, never less."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = max(12, (16 * len(hashes)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.marks = np.zeros(1 << bits, bool)
+        self.marks[hashes >> self.shift] = True
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        return self.marks[hashes >> self.shift]
+
+
 class Passages:
     """Benchmark passages of a group, ready to search."""
 
@@ -251,11 +276,32 @@ class Passages:
         run = np.concatenate([*runs, np.zeros(0, np.uint64)])
         order = np.argsort(run, kind="stable")
         self.run, self.run_of = run[order], whose[order]
+        self.runs = Marked(self.run)
+        self.lengths = np.array([n for _, n in self.words], np.int64)
+        self.least = np.array(self.need)
+        self.has = Marked(np.concatenate([of_item(at, np.fromiter(masks, np.uint64)) for at, (masks, _) in enumerate(self.words)] or [self.run]))
+
+    def possible(self, at: np.ndarray, words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether the words from ``begin`` to ``end`` can hold what confirms item ``at``: no subsequence is longer than
+        the number of words that occur in the item at all. Some that cannot are let through, none that can is lost."""
+        out = np.zeros(len(at), bool)
+        size = end - begin
+        upto = np.cumsum(size)
+        low = 0
+        while low < len(at):
+            high = max(low + 1, int(np.searchsorted(upto, upto[low] - size[low] + LOOKED_UP, side="right")))
+            here = slice(low, high)
+            found = self.has.may_hold(of_item(np.repeat(at[here], size[here]), words[ranges(begin[here], size[here])]))
+            sums = np.concatenate(([0], np.cumsum(found)))
+            last = upto[here] - (upto[low] - size[low])
+            out[here] = sums[last] - sums[last - size[here]] >= self.least[at[here]]
+            low = high
+        return out
 
     def confirm(self, at: int, around: list[int], run: bool = False) -> tuple[bool, float]:
         item = self.words[at]
-        # No subsequence is longer than the number of words that occur in the item at all.
-        if not run and sum(map(item[0].__contains__, around)) < self.need[at]:
+        # No subsequence is longer than the number of words that occur in the item at all, nor than that of the item's places they have.
+        if not run and (sum(map(item[0].__contains__, around)) < self.need[at] or sum(item[0][w].bit_count() for w in item[0].keys() & around) < self.need[at]):
             return False, 0.0
         share = lcs(*item, around) / item[1]
         if run or share >= COPIED or any(lcs(*part, around) >= COPIED * part[1] for part in self.parts[at]):
@@ -267,53 +313,63 @@ class Passages:
 def copied_runs(words: np.ndarray, rows: np.ndarray, known: Passages) -> tuple[np.ndarray, ...]:
     """Every ``RUN`` words in a row of an item: row, item, first word and end."""
     run = rolling(words, RUN)
-    left = np.searchsorted(known.run, run)
-    some = np.flatnonzero(known.run[np.minimum(left, len(known.run) - 1)] == run) if len(known.run) else np.zeros(0, np.int64)
+    some = np.flatnonzero(known.runs.may_hold(run))
+    left = np.searchsorted(known.run, run[some])
+    same = known.run[np.minimum(left, len(known.run) - 1)] == run[some] if len(known.run) else np.zeros(len(some), bool)
+    some, left = some[same], left[same]
     row = np.searchsorted(rows, some, side="right") - 1
     within = some + RUN <= rows[row + 1] if len(some) else np.zeros(0, bool)
-    some, row = some[within], row[within]
-    many = np.searchsorted(known.run, run[some], side="right") - left[some]
+    some, row, left = some[within], row[within], left[within]
+    many = np.searchsorted(known.run, run[some], side="right") - left
     begin = np.repeat(some, many)
-    return np.repeat(row, many), known.run_of[ranges(left[some], many)], begin, begin + RUN
+    return np.repeat(row, many), known.run_of[ranges(left, many)], begin, begin + RUN
+
 
+def running_totals(table: np.ndarray, term: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Sums of the vectors of the first words, none to all but one; ``term`` has whole runs of ``SUMMED``, ``before`` tells the
+    runs before each. The words of the same place of all runs are added at once: numpy's cumsum goes down columns."""
+    first = np.concatenate(([TERMS], term[:-1])).reshape(-1, SUMMED).T
+    sums = table.take(first.ravel(), axis=0).reshape(SUMMED, -1)
+    for i in range(1, SUMMED):
+        np.add(sums[i], sums[i - 1], out=sums[i])
+    sums = sums.reshape(*first.shape, -1)
+    out = np.empty((first.shape[1], SUMMED, table.shape[1]), np.float32)
+    np.add(sums.transpose(1, 0, 2), (before @ sums[-1])[:, None], out=out)
+    return out.reshape(-1, table.shape[1])
 
-def running_totals(vectors: np.ndarray, block: int = 48) -> np.ndarray:
-    """Sums of the rows before each row, and of all. A block's rows are added for all blocks at once: numpy's cumsum goes down columns."""
-    n, width = vectors.shape
-    out = np.zeros((-(-n // block) * block + 1, width), np.float32)
-    out[1 : n + 1] = vectors
-    blocks = out[1:].reshape(-1, block, width)
-    for i in range(1, block):
-        blocks[:, i] += blocks[:, i - 1]
-    blocks[1:] += np.cumsum(blocks[:-1, -1], axis=0)[:, None]
-    return out[: n + 1]
+
+def windows(rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of so many words: row, start and stop. A row's windows start at its first word and every so many words on."""
+    step = max(STEP, size // 8)
+    many = -(-np.diff(rows) // step)
+    row = np.repeat(np.arange(len(many)), many)
+    start = rows[row] + step * (np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many))
+    return row, start, np.minimum(start + size, rows[row + 1])
 
 
 def candidates(words: np.ndarray, rows: np.ndarray, table: np.ndarray, known: Passages) -> tuple[np.ndarray, ...]:
     """Windows near a passage: row, item, first word, end and cosine of each."""
     hits: list[tuple[np.ndarray, ...]] = []
-    owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    ends = rows[1:]
-    term = terms(words)
-    for low in range(0, len(words), HELD):
-        total = running_totals(table.take(term[low : low + HELD + LONGEST * BLOCK], axis=0))
-        here = np.arange(low, min(low + HELD, len(words)))
-        begin, end = rows[owner[here]], ends[owner[here]]
-        for size, (whose, vectors) in known.span.items():
-            # A row's windows start at its first word and every so many words on.
-            some = np.flatnonzero((here - begin) % max(STEP, size // 8) == 0)
-            start = here[some]
-            stop = np.minimum(start + size, end[some])
-            window = total.take(stop - low, axis=0)
-            window -= total.take(some, axis=0)
-            norm = np.sqrt(np.einsum("ij,ij->i", window, window))
+    runs = -(-(HELD + LONGEST * BLOCK + 1) // SUMMED)
+    lows = np.arange(0, len(words), HELD)
+    term = np.concatenate((terms(words), np.full(runs * SUMMED, TERMS)))
+    before = np.tri(runs, k=-1, dtype=np.float32)
+    searched = []
+    for size, (whose, vectors) in known.span.items():
+        row, start, stop = windows(rows, size)
+        searched.append((whose, vectors, row, start, stop, np.append(np.searchsorted(start, lows), len(start)).tolist()))
+    for k, low in enumerate(lows.tolist()):
+        total = running_totals(table, term[low : low + runs * SUMMED], before)
+        for whose, vectors, row, start, stop, cuts in searched:
+            a, b = cuts[k], cuts[k + 1]
+            window = total.take(stop[a:b] - low, axis=0)
+            window -= total.take(start[a:b] - low, axis=0)
+            norm = np.sqrt(np.vecdot(window, window))
             dot = window @ vectors.T
-            gate = COSINE * np.maximum(norm, 1e-6)
-            near = np.flatnonzero(dot.max(axis=1) >= gate)
+            near = np.flatnonzero(dot >= COSINE * np.maximum(norm, 1e-6)[:, None])
             if len(near):
-                i, j = np.nonzero(dot[near] >= gate[near, None])
-                i = near[i]
-                hits.append((owner[start[i]], whose[j], start[i], stop[i], dot[i, j] / norm[i]))
+                i, j = np.divmod(near, len(whose))
+                hits.append((row[a + i], whose[j], start[a + i], stop[a + i], dot[i, j] / norm[i]))
     if not hits:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
     return tuple(np.concatenate(part) for part in zip(*hits, strict=True))
@@ -332,17 +388,21 @@ def search(words: np.ndarray, rows: np.ndarray, table: np.ndarray, known: Passag
     # Windows of one item that touch one another are one region.
     new = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (begin[1:] > end[:-1])
     head = np.flatnonzero(np.concatenate(([True], new)))
-    regions = zip(row[head].tolist(), item[head].tolist(), begin[head].tolist(), np.maximum.reduceat(end, head).tolist(), np.maximum.reduceat(cosine, head).tolist(), np.logical_or.reduceat(run, head).tolist(), strict=True)
+    row, item, begin, end, cosine, run = row[head], item[head], begin[head], np.maximum.reduceat(end, head), np.maximum.reduceat(cosine, head), np.logical_or.reduceat(run, head)
+    begin, end = np.maximum(rows[row], begin - BLOCK), np.minimum(rows[row + 1], end + 2 * BLOCK)
+    # A region longer than the item is confirmed in overlapping stretches of twice its length.
+    half = np.maximum(known.lengths[item], BLOCK) + BLOCK
+    many = np.maximum(1, -(-(end - begin - half) // half))
+    region = np.repeat(np.arange(len(row)), many)
+    begin = ranges(np.zeros_like(many), many) * half[region] + begin[region]
+    end = np.minimum(begin + 2 * half[region], end[region])
+    row, item, cosine, run = (part[region] for part in (row, item, cosine, run))
+    some = np.flatnonzero(run | known.possible(item, words, begin, end))
     out: dict[int, tuple[float, int, float]] = {}
-    for r, at, low, high, cos, sure in regions:
-        start, stop = max(int(rows[r]), low - BLOCK), min(int(rows[r + 1]), high + 2 * BLOCK)
-        length = known.words[at][1]
-        # A region longer than the item is confirmed in overlapping stretches of twice its length.
-        stretch = 2 * max(length, BLOCK) + 2 * BLOCK
-        for a in range(start, max(start + 1, stop - stretch // 2), stretch // 2):
-            yes, share = known.confirm(at, words[a : min(a + stretch, stop)].tolist(), sure)
-            if yes and (r not in out or (share, -known.ids[at]) > (out[r][0], -out[r][1])):
-                out[r] = (share, known.ids[at], cos if cos >= 0 else None)
+    for r, at, low, high, cos, sure in zip(*(part[some].tolist() for part in (row, item, begin, end, cosine, run)), strict=True):
+        yes, share = known.confirm(at, words[low:high].tolist(), sure)
+        if yes and (r not in out or (share, -known.ids[at]) > (out[r][0], -out[r][1])):
+            out[r] = (share, known.ids[at], cos if cos >= 0 else None)
     return [(r, found, share, cos) for r, (share, found, cos) in out.items()]
 
 
