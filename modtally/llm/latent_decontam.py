@@ -113,17 +113,22 @@ def passages(words: np.ndarray, rows: np.ndarray, weight: np.ndarray) -> tuple[n
 
 def add_products(total: np.ndarray, w: np.ndarray, owner: np.ndarray, term: np.ndarray, value: np.ndarray) -> None:
     """``total += A'(A w)`` for the entries of ``A``, which are sorted by owner: dense products of ``TOGETHER`` passages and their terms."""
-    place = np.zeros(len(total), np.int64)
-    some = np.zeros(len(total), bool)
-    cuts = np.searchsorted(owner, np.arange(0, int(owner[-1]) + 1 + TOGETHER, TOGETHER))
-    for k, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-        own = term[low:high]
-        some[own] = True
-        terms = np.flatnonzero(some)
-        some[terms] = False
-        place[terms] = np.arange(len(terms))
+    group = owner // TOGETHER
+    key = group * TERMS + term
+    order = np.argsort(key)
+    key = key[order]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    heads = key[new]
+    # Columns of a group: its terms, ascending.
+    cuts = np.searchsorted(heads, np.arange(int(group[-1]) + 2) * TERMS)
+    column = np.empty(len(key), np.int64)
+    column[order] = np.cumsum(new) - 1
+    ends = np.searchsorted(owner, np.arange(int(group[-1]) + 2) * TOGETHER).tolist()
+    for k, (first, last) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+        here = slice(ends[k], ends[k + 1])
+        terms = heads[first:last] - k * TERMS
         a = np.zeros((TOGETHER, len(terms)), np.float32)
-        a[owner[low:high] - k * TOGETHER, place[own]] = value[low:high]
+        a[owner[here] - k * TOGETHER, column[here] - first] = value[here]
         total[terms] = total.take(terms, axis=0) + a.T @ (a @ w.take(terms, axis=0))
 
 
@@ -301,7 +306,7 @@ class Passages:
     def confirm(self, at: int, around: list[int], run: bool = False) -> tuple[bool, float]:
         item = self.words[at]
         # No subsequence is longer than the number of words that occur in the item at all, nor than that of the item's places they have.
-        if not run and (sum(map(item[0].__contains__, around)) < self.need[at] or sum(item[0][w].bit_count() for w in item[0].keys() & around) < self.need[at]):
+        if not run and (sum(item[0][w].bit_count() for w in item[0].keys() & around) < self.need[at] or sum(map(item[0].__contains__, around)) < self.need[at]):
             return False, 0.0
         share = lcs(*item, around) / item[1]
         if run or share >= COPIED or any(lcs(*part, around) >= COPIED * part[1] for part in self.parts[at]):
@@ -357,15 +362,20 @@ def candidates(words: np.ndarray, rows: np.ndarray, table: np.ndarray, known: Pa
     searched = []
     for size, (whose, vectors) in known.span.items():
         row, start, stop = windows(rows, size)
-        searched.append((whose, vectors, row, start, stop, np.append(np.searchsorted(start, lows), len(start)).tolist()))
+        searched.append((size, whose, np.ascontiguousarray(vectors.T), row, start, stop, np.append(np.searchsorted(start, lows), len(start)).tolist()))
     for k, low in enumerate(lows.tolist()):
         total = running_totals(table, term[low : low + runs * SUMMED], before)
-        for whose, vectors, row, start, stop, cuts in searched:
+        # Classes of one step start at the same words.
+        upto: dict[int, np.ndarray] = {}
+        for size, whose, vectors, row, start, stop, cuts in searched:
             a, b = cuts[k], cuts[k + 1]
+            step = max(STEP, size // 8)
+            if step not in upto:
+                upto[step] = total.take(start[a:b] - low, axis=0)
             window = total.take(stop[a:b] - low, axis=0)
-            window -= total.take(start[a:b] - low, axis=0)
+            window -= upto[step]
             norm = np.sqrt(np.vecdot(window, window))
-            dot = window @ vectors.T
+            dot = window @ vectors
             near = np.flatnonzero(dot >= COSINE * np.maximum(norm, 1e-6)[:, None])
             if len(near):
                 i, j = np.divmod(near, len(whose))
@@ -383,7 +393,7 @@ def search(words: np.ndarray, rows: np.ndarray, table: np.ndarray, known: Passag
     run = np.arange(len(row)) >= len(near[0])
     if not len(row):
         return []
-    order = np.lexsort((begin, item, row))
+    order = np.argsort((row * len(known.ids) + item) * (len(words) + 1) + begin, kind="stable")
     row, item, begin, end, cosine, run = (part[order] for part in (row, item, begin, end, cosine, run))
     # Windows of one item that touch one another are one region.
     new = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (begin[1:] > end[:-1])
